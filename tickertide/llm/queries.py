@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import bpe
+from tickertide.llm import bpe, mixing, simhash
 from tickertide.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,8 +23,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_mix": op4_mix,
+    "op9_simhash": op9_simhash,
 }
 
 #: None of these can be written in SQL: they hash, learn, search or tokenise. tests/llm holds brute-force versions.
