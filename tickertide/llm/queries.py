@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import bpe, mixing, simhash
-from tickertide.llm.common import table
+from tickertide.llm import bpe, mixing, quality, simhash, toxicity
+from tickertide.llm.common import is_held_out, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -19,10 +19,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -33,7 +44,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
     "op4_mix": op4_mix,
     "op9_simhash": op9_simhash,
 }
