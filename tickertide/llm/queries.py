@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import bpe, mixing, quality, simhash, toxicity
+from tickertide.llm import bpe, chat, mixing, neighbours, quality, secrets, simhash, toxicity
 from tickertide.llm.common import is_held_out, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,17 +38,35 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s: s["rank"] == 0)).cast("long").alias("n_assign"), F.size(F.filter("base", lambda s: s["rank"] == 1)).cast("long").alias("n_access"), F.size(F.filter("base", lambda s: s["rank"] == 2)).cast("long").alias("n_hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.concat("base", "added")).alias("spans"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.format_chats(table(spark, sf_dir, "conversations"))
+    return turns.select("conv_id", "turn", "role", F.col("found").alias("role_found"), F.length("rendered").cast("long").alias("n_rendered"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_mix": op4_mix,
+    "op7_neighbours": op7_neighbours,
+    "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
+    "op10_chat": op10_chat,
 }
 
 #: None of these can be written in SQL: they hash, learn, search or tokenise. tests/llm holds brute-force versions.
