@@ -127,3 +127,9 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     empty = rows.where("size = 0").select("id", "source", "size", F.lit(0).cast("long").alias("taken"))
     per = per_source.select(F.col("source").alias("s"), "source_size", "target")
     return totals.unionByName(empty).join(per, _same(F.col("source"), F.col("s"))).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
+    """docs as the mix takes them: each row as many times as its words are taken, rounded. Rows without an id are never taken."""
+    copies = taken(docs, id_col, text_col, source_col, **params).where("size > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_n")).where("_n > 0")
+    return docs.join(copies, docs[id_col] == copies["_id"]).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)

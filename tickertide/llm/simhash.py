@@ -114,3 +114,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = group.groupBy("root").agg(F.min("least").alias("component_id"))
     return fps.join(group.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each component, that of the least id. Rows without an id stay."""
+    kept = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
+    return docs.join(kept, docs[id_col] == kept["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(id_col).isNull()).select(*docs.columns)

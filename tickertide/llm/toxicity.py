@@ -171,3 +171,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_pydict({id_col: batch.column(0), "score": pa.array(s, pa.float64()), "predicted": pa.array([int(x >= 0.5) for x in s], pa.int32())})
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """docs without the rows that score `limit` or more; all columns stay as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias)), docs.columns.index(text_col)
+
+    def run(batches):
+        scorer = Scorer(Model(*shared.value))
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(t.as_py() or "") < limit for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
