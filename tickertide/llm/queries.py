@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import bpe, chat, lines, mixing, neighbours, quality, secrets, simhash, toxicity
+from tickertide.llm import bpe, chat, lines, mixing, neighbours, quality, secrets, simhash, suffixes, toxicity
 from tickertide.llm.common import is_held_out, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,11 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_mix": op4_mix,
+    "op5_suffixes": op5_suffixes,
     "op6_lines": op6_lines,
     "op7_neighbours": op7_neighbours,
     "op8_secrets": op8_secrets,
