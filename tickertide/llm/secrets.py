@@ -33,17 +33,20 @@ ALLOWED = r"(?i:^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(?:[a-z]+[-_/+=])
 _SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
-def matches(text: Column, pattern: str, needs: str) -> Column:
-    """array of (start, end, value): the pattern's leftmost non-overlapping matches; value is its group."""
-    lazy = F.lit(rf"(?s)(.*?)({pattern})")
+def matches(text: Column, pattern: str, needs: str, least: int = 0) -> Column:
+    """array of (start, end, value): the pattern's leftmost non-overlapping matches whose value, its group, is long enough."""
+    # the end of the text ends the last gap; without it each place after the last match would be tried as a start
+    lazy = F.lit(rf"(?s)(.*?)(?:({pattern})|\z)")
     parts = F.arrays_zip(*(F.regexp_extract_all(text, lazy, F.lit(k)).alias(n) for k, n in ((1, "gap"), (2, "hit"), (3, "value"))))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["hit"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))).alias("out"))
+        more = F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
+        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, more).otherwise(acc["out"]).alias("out"))
 
+    parts = F.filter(parts, lambda x: x["hit"] != "")
     folded = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
     return F.when(text.rlike(needs), folded).otherwise(none)
 
@@ -81,7 +84,7 @@ def _is_random(run: Column) -> Column:
 
 
 def _rule(text: Column, rank: int, kind: str, pattern: str, least: int) -> Column:
-    found = F.filter(matches(text, pattern, NEEDS[kind]), lambda m: F.length(m["value"]) >= least)
+    found = matches(text, pattern, NEEDS[kind], least)
     return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
