@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tickertide-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="tickertide-"))
+        path = _own[0]
     return path
 
 
