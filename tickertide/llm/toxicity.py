@@ -31,6 +31,8 @@ from tickertide.llm.common import is_held_out
 SAMPLE, SAMPLE_CHARS = 8000, 32_000_000
 BUCKETS, DIM, GRAMS = 1 << 18, 4, (3, 4, 5, 6)
 EPOCHS, BATCH, RATE, DECAY, MIN_DOCS, POSITIVE = 10, 128, 0.02, 3e-4, 20, 1.5
+#: Steps at least.
+STEPS = 400
 #: Empty words that each mean also runs over: the few words of a short text don't decide alone.
 PAD = 30
 #: Texts' means are multiplied by this before the softmax: the mean of some hundred words is short.
@@ -86,17 +88,21 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, dim: int = DI
     prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS), prior)
-    rows = [features(t) for t in texts]
-    seen = np.bincount(np.concatenate([r[0] for r in rows]), minlength=BUCKETS)
-    kept = np.flatnonzero(seen >= MIN_DOCS)  # what few texts have would be learned by heart
-    place = np.full(BUCKETS, -1)
+    rows, seen = [], np.zeros(BUCKETS, np.int32)
+    for t in texts:
+        rows.append(features(t))
+        seen[rows[-1][0]] += 1
+    kept = np.flatnonzero(seen >= min(MIN_DOCS, max(2, len(rows) // 100)))  # what few texts have would be learned by heart
+    place = np.full(BUCKETS, -1, np.int32)
     place[kept] = np.arange(len(kept))
-    rows = [(place[b][place[b] >= 0], v[place[b] >= 0]) for b, v in rows]
+    for i, (b, v) in enumerate(rows):  # in place: the driver never holds both forms of all rows
+        own = place[b] >= 0
+        rows[i] = place[b][own], v[own]
     rng = np.random.default_rng(seed)
     e, w, b = rng.normal(0, 0.1 / dim, (len(kept), dim)), rng.normal(0, 0.5, (dim, 2)), np.array([0.0, prior])
     want, weigh = np.eye(2)[y], np.where(y == 1, POSITIVE, 1.0)
     params, m, v, step = [e, w, b], [0.0] * 3, [0.0] * 3, 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, STEPS * BATCH // len(rows))):  # few rows are gone through more often
         for batch in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
             step += 1
             cols = np.concatenate([rows[i][0] for i in batch])
@@ -150,14 +156,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         known = known.where(~is_held_out(F.col("id")))
     # chosen by id first, so that only the chosen rows' texts move
     chosen = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
-    rows, room = [], SAMPLE_CHARS
-    for r in texts.orderBy(F.xxhash64("id"), "id", "text").limit(sample).toLocalIterator():
-        room -= len(r["text"] or "")
-        if room < 0:
-            break
-        rows.append((r["text"] or "", r["y"]))
-    return fit([t for t, _ in rows], [y for _, y in rows])
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample)
+
+    def run(batches):
+        rows, room = [], SAMPLE_CHARS
+        for batch in batches:
+            for text, y in zip(batch.column(0), batch.column(1), strict=True):
+                room -= len(text.as_py() or "")
+                if room >= 0:
+                    rows.append((text.as_py() or "", y.as_py()))
+        model = fit([t for t, _ in rows], [y for _, y in rows])
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([model.bucket.tobytes()], pa.binary()), "bias": pa.array([model.bias])})
+
+    # one task fits the model on the bounded sample; the driver sees BUCKETS numbers
+    found = texts.select("text", "y").repartition(1).mapInArrow(run, "bucket binary, bias double").first()
+    return Model(np.frombuffer(bytes(found["bucket"])), found["bias"]) if found else fit([], [])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
