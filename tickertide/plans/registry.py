@@ -604,29 +604,31 @@ def _(s, d):
 
 # bars and indicators
 
-_TS = F.unix_timestamp(F.col("bar_ts").cast("timestamp"))
+def _ts():
+    return F.unix_timestamp(F.col("bar_ts").cast("timestamp"))
+
 _ROWS = lambda n: f"(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 _PREV = lambda n: f"(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
 
 
 @query("d1_resample", "SELECT symbol, epoch(bar_ts)::bigint AS ts, open, high, low, close, volume FROM (SELECT symbol, date_trunc('day', bar_ts) AS bar_ts, arg_min(open, bar_ts) AS open, max(high) AS high, min(low) AS low, arg_max(close, bar_ts) AS close, cast(sum(volume) AS bigint) AS volume FROM bars GROUP BY 1, 2)", "bars")
 def _(s, d):
-    return B.rebar(V.bars(s, d), "day").select("symbol", _TS.alias("ts"), "open", "high", "low", "close", "volume")
+    return B.rebar(V.bars(s, d), "day").select("symbol", _ts().alias("ts"), "open", "high", "low", "close", "volume")
 
 
 @query("d1_resample_ticks", "SELECT symbol, epoch(bar_ts)::bigint AS ts, open, high, low, close, volume FROM (SELECT symbol, date_trunc('minute', ts) AS bar_ts, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, count(*) AS volume FROM ticks GROUP BY 1, 2)", "ticks")
 def _(s, d):
-    return B.resample(V.ticks(s, d), "minute").select("symbol", _TS.alias("ts"), "open", "high", "low", "close", "volume")
+    return B.resample(V.ticks(s, d), "minute").select("symbol", _ts().alias("ts"), "open", "high", "low", "close", "volume")
 
 
 @query("d3_sma", f"SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN count(*) OVER {_ROWS(10)} >= 10 THEN avg(close) OVER {_ROWS(10)} END, 6) AS sma FROM bars", "bars")
 def _(s, d):
-    return B.sma(V.bars(s, d), 10).select("symbol", _TS.alias("ts"), r6("sma").alias("sma"))
+    return B.sma(V.bars(s, d), 10).select("symbol", _ts().alias("ts"), r6("sma").alias("sma"))
 
 
 @query("d3_volatility", f"WITH r AS (SELECT symbol, bar_ts, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY bar_ts)) AS x FROM bars) SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN count(x) OVER {_ROWS(20)} >= 20 THEN stddev_samp(x) OVER {_ROWS(20)} END, 6) AS volatility FROM r", "bars")
 def _(s, d):
-    return B.volatility(V.bars(s, d), 20).select("symbol", _TS.alias("ts"), r6("volatility").alias("volatility"))
+    return B.volatility(V.bars(s, d), 20).select("symbol", _ts().alias("ts"), r6("volatility").alias("volatility"))
 
 
 @query("d4_ema", "SELECT symbol, round(list_reduce(list(close ORDER BY bar_ts), lambda a, y: a + (y - a) * 2 / 13), 6) AS ema FROM bars GROUP BY 1", "bars")
@@ -642,12 +644,12 @@ def _(s, d):
 @query("d5_rsi", f"WITH c AS (SELECT symbol, bar_ts, close - lag(close) OVER (PARTITION BY symbol ORDER BY bar_ts) AS d FROM bars), g AS (SELECT symbol, bar_ts, count(d) OVER {_ROWS(14)} AS n, avg(greatest(d, 0.0)) OVER {_ROWS(14)} AS gain, avg(greatest(-d, 0.0)) OVER {_ROWS(14)} AS loss FROM c) SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN n >= 14 THEN CASE WHEN loss = 0 THEN 100.0 ELSE 100 - 100 / (1 + gain / loss) END END, 6) AS rsi FROM g", "bars")
 def _(s, d):
     rows = B.rsi(V.bars(s, d))
-    return rows.select("symbol", _TS.alias("ts"), r6("rsi").alias("rsi"))
+    return rows.select("symbol", _ts().alias("ts"), r6("rsi").alias("rsi"))
 
 
 @query("d6_bollinger", f"SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN count(*) OVER {_ROWS(20)} >= 20 THEN avg(close) OVER {_ROWS(20)} + 2 * stddev_pop(close) OVER {_ROWS(20)} END, 6) AS upper, round(CASE WHEN count(*) OVER {_ROWS(20)} >= 20 THEN avg(close) OVER {_ROWS(20)} - 2 * stddev_pop(close) OVER {_ROWS(20)} END, 6) AS lower FROM bars", "bars")
 def _(s, d):
-    return B.bollinger(V.bars(s, d)).select("symbol", _TS.alias("ts"), r6("upper").alias("upper"), r6("lower").alias("lower"))
+    return B.bollinger(V.bars(s, d)).select("symbol", _ts().alias("ts"), r6("upper").alias("upper"), r6("lower").alias("lower"))
 
 
 @query("d7_vwap", "SELECT symbol, cast(cast(bar_ts AS date) AS varchar) AS date, round(sum(close * volume) / sum(volume), 6) AS vwap, cast(sum(volume) AS bigint) AS volume FROM bars GROUP BY 1, 2", "bars")
@@ -662,22 +664,22 @@ def _(s, d):
 
 @query("d8_minmax", f"SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN max(close) OVER {_ROWS(10)} > min(close) OVER {_ROWS(10)} THEN (close - min(close) OVER {_ROWS(10)}) / (max(close) OVER {_ROWS(10)} - min(close) OVER {_ROWS(10)}) END, 6) AS minmax FROM bars", "bars")
 def _(s, d):
-    return B.minmax(V.bars(s, d), 10).select("symbol", _TS.alias("ts"), r6("minmax").alias("minmax"))
+    return B.minmax(V.bars(s, d), 10).select("symbol", _ts().alias("ts"), r6("minmax").alias("minmax"))
 
 
 @query("d8_zscore", f"SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN count(*) OVER {_ROWS(10)} >= 10 AND stddev_samp(close) OVER {_ROWS(10)} > 0 THEN (close - avg(close) OVER {_ROWS(10)}) / stddev_samp(close) OVER {_ROWS(10)} END, 6) AS zscore FROM bars", "bars")
 def _(s, d):
-    return B.zscore(V.bars(s, d), 10).select("symbol", _TS.alias("ts"), r6("zscore").alias("zscore"))
+    return B.zscore(V.bars(s, d), 10).select("symbol", _ts().alias("ts"), r6("zscore").alias("zscore"))
 
 
 @query("d9_outliers", f"SELECT symbol, epoch(bar_ts)::bigint AS ts FROM (SELECT symbol, bar_ts, close, count(*) OVER {_PREV(20)} AS n, avg(close) OVER {_PREV(20)} AS m, stddev_samp(close) OVER {_PREV(20)} AS sd FROM bars) WHERE n >= 20 AND abs((close - m) / nullif(sd, 0)) > 2", "bars")
 def _(s, d):
-    return B.outliers(V.bars(s, d), 20, 2.0).where("outlier").select("symbol", _TS.alias("ts"))
+    return B.outliers(V.bars(s, d), 20, 2.0).where("outlier").select("symbol", _ts().alias("ts"))
 
 
 @query("d9_spikes", f"SELECT symbol, epoch(bar_ts)::bigint AS ts FROM (SELECT symbol, bar_ts, volume, count(*) OVER {_PREV(20)} AS n, avg(volume) OVER {_PREV(20)} AS m FROM bars) WHERE n >= 20 AND volume > 2 * m", "bars")
 def _(s, d):
-    return B.spikes(V.bars(s, d), 20).where("spike").select("symbol", _TS.alias("ts"))
+    return B.spikes(V.bars(s, d), 20).where("spike").select("symbol", _ts().alias("ts"))
 
 
 @query("d10_gaps", "SELECT symbol, epoch(a)::bigint AS gap_from, epoch(bar_ts)::bigint AS gap_to, (epoch(bar_ts) - epoch(a))::bigint // 3600 - 1 AS missing FROM (SELECT symbol, bar_ts, lag(bar_ts) OVER (PARTITION BY symbol ORDER BY bar_ts) AS a FROM bars) WHERE epoch(bar_ts) - epoch(a) > 3600", "bars")
