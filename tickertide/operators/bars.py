@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from tickertide.functions.rules import rule_ohlc
 
-_BY = Window.partitionBy("symbol").orderBy("bar_ts")
+def by_symbol():
+    return Window.partitionBy("symbol").orderBy("bar_ts")
+
 
 
 def last_rows(n: int):
-    return _BY.rowsBetween(-(n - 1), 0)
+    return by_symbol().rowsBetween(-(n - 1), 0)
 
 
 def rows_before(n: int):
-    return _BY.rowsBetween(-n, -1)
+    return by_symbol().rowsBetween(-n, -1)
 
 
 def _full(value: Column, n: int, w) -> Column:
@@ -44,7 +46,7 @@ def rebar(bars: DataFrame, unit: str) -> DataFrame:
 
 
 def log_return() -> Column:
-    return F.log(F.col("close") / F.lag("close").over(_BY))
+    return F.log(F.col("close") / F.lag("close").over(by_symbol()))
 
 
 def sma(bars: DataFrame, n: int) -> DataFrame:
@@ -80,7 +82,7 @@ def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Da
 
 
 def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
-    rows = bars.withColumn("_d", F.col("close") - F.lag("close").over(_BY))
+    rows = bars.withColumn("_d", F.col("close") - F.lag("close").over(by_symbol()))
     w = last_rows(n)
     gain, loss = F.avg(F.greatest("_d", F.lit(0.0))).over(w), F.avg(F.greatest(-F.col("_d"), F.lit(0.0))).over(w)
     return rows.withColumn("rsi", F.when(F.count("_d").over(w) >= n, F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + gain / loss)))).drop("_d")
@@ -126,7 +128,7 @@ def spikes(bars: DataFrame, n: int, k: float = 2.0, of: str = "volume") -> DataF
 
 def gaps(bars: DataFrame, seconds: int = 3600) -> DataFrame:
     """Where a symbol's next bar is missing: from, to, and how many bars are absent."""
-    before = F.lag("bar_ts").over(_BY)
+    before = F.lag("bar_ts").over(by_symbol())
     rows = bars.select("symbol", before.alias("gap_from"), F.col("bar_ts").alias("gap_to"))
     step = F.unix_timestamp(F.col("gap_to").cast("timestamp")) - F.unix_timestamp(F.col("gap_from").cast("timestamp"))
     return rows.where(step > seconds).withColumn("missing", F.expr(f"(unix_timestamp(cast(gap_to as timestamp)) - unix_timestamp(cast(gap_from as timestamp))) div {seconds} - 1"))
