@@ -147,6 +147,22 @@ def test_lines_drop_repeats_and_near_repeats(spark):
     assert got[1]["n_dropped"] in (1, 2) and got[1]["source"] == "s1"
 
 
+def test_lines_find_all_pairs_at_the_similarity(spark):
+    rng = random.Random(11)
+    vocab = ["".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    usual = [1 / (i + 1) for i in range(3000)]
+    texts, pairs = [], []
+    for _ in range(120):
+        a = rng.choices(vocab, usual, k=rng.randint(5, 100))
+        b = list(a)
+        for _ in range(rng.randint(1, len(a) // 5)):
+            b[rng.randrange(len(b))] = rng.choice(vocab)
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(a), " ".join(b)]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup(docs(spark, texts)).collect()}
+    assert [p for p in pairs if got[p[0]] + got[p[1]] == 0] == []
+
+
 def test_lines_simhash_and_links(spark):
     words = [f"w{i}" for i in range(80)]
     rows = spark.createDataFrame([(1, w) for w in words] + [(2, w) for w in [*words[:79], "else"]], "k long, w string")
