@@ -92,6 +92,26 @@ def test_simhash_tiles_lose_no_link(spark):
     assert {frozenset(v) for v in roots.values()} == {g for g in groups if len(g) > 1}
 
 
+def test_near_dedup_stage_equals_brute_force(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(4)
+    texts = []
+    for n in (3, 8, 40, 120, 300, 600):
+        for changed in (0, 1, 2, 5, 9, 14):
+            a = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            b = list(a)
+            for i in rng.sample(range(n), min(changed, n)):
+                b[i] = "changed"
+            texts += [" ".join(a), " ".join(b)]
+    texts += ["", None, " \n"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
+    near = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+    frame = docs(spark, texts)
+    assert {r["doc_id"] for r in P.dedup_documents(spark, frame, "").collect()} == set(components_of(near))
+    assert len(set(components_of(near))) < simhash.near_duplicates(frame).select("component_id").distinct().count()
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (7, 7), (9, 8), (8, 10), (None, 4)], "a long, b long")
     assert {(r["node"], r["root"]) for r in graph.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8), (10, 8)}
