@@ -288,6 +288,17 @@ def test_secrets_base_spans(spark):
     assert [(s["start"], s["end"]) for s in got[4]["added"]] == [(4, 24)]
 
 
+def test_secrets_of_every_class(spark):
+    rng = random.Random(6)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [lower + digits, upper + "234567", lower + upper, lower, upper, lower + upper + digits]
+    made = ["x7k2m9q4w8e3r5t6y1u0", *("".join(rng.choices(k, k=40)) for k in kinds for _ in range(5))]
+    words = ["internationalization", "counterrevolutionaries", "COUNTERREVOLUTIONARIES", "internationalization2024", "INTERNATIONALIZATION2024", "uncharacteristically-so", "InternationalizationTest", "-" * 30, "=" * 25]
+    got = {r["doc_id"]: [(x["start"], x["end"]) for x in r["added"]] for r in secrets.spans(docs(spark, [f"see {x} now" for x in [*made, *words]])).collect()}
+    assert [x for i, x in enumerate(made) if got[i] != [(4, 4 + len(x))]] == []
+    assert [x for i, x in enumerate(words, len(made)) if got[i]] == []
+
+
 def test_entropy_of_windows(spark):
     rng = random.Random(9)
     runs = ["".join(rng.choice("abcXYZ0123") for _ in range(rng.randint(20, 60))) for _ in range(30)]

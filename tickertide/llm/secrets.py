@@ -1,9 +1,8 @@
 """Secret scans in DataFrame functions: three fixed rules, and windowed entropy over candidate strings.
 
 Matches are found leftmost and non-overlapping by a lazy gap before the rule's pattern, so the lengths of gaps and
-matches add up to positions in code points. The method looks at runs of token letters of MIN_RUN or more with a
-digit: each run is of a character class (hex, or mixed letters and digits), a window of WINDOW characters slides over
-it, and the sum of c * log2(c) over the window's character counts c is kept up to date by the character that leaves
+matches add up to positions in code points. The method looks at runs of token letters of MIN_RUN or more:
+each run is of a character class by the cases and digits it holds, a window of WINDOW characters slides over it, and the sum of c * log2(c) over the window's character counts c is kept up to date by the character that leaves
 and the one that enters. A run whose greatest window entropy reaches its class's threshold is a span, unless it is
 allow-listed or lies within a span of a fixed rule.
 
@@ -25,9 +24,16 @@ RULES = (
 NEEDS = {"assign": r"(?i:passw|secret|token|api_?key)", "access": "AKIA[A-Z0-9]{12}", "hex": "[0-9a-f]{32}"}
 TOKEN = r"A-Za-z0-9+/_=-"
 MIN_RUN, WINDOW = 20, 20
-RUN = rf"(?<![{TOKEN}])(?=[A-Za-z+/_=-]*[0-9])([{TOKEN}]{{{MIN_RUN},}})"
+RUN = rf"(?<![{TOKEN}])([{TOKEN}]{{{MIN_RUN},}})"
 #: Character class, what its runs look like, and the window entropy (bits) from which a run is a secret.
-CLASSES = (("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0), ("mixed", r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9]).*$", 3.6))
+CLASSES = (
+    ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
+    ("mixed", r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9]).*$", 3.6),
+    ("lower and digits", r"^(?=.*[a-z])(?=.*[0-9]).*$", 3.5),
+    ("upper and digits", r"^(?=.*[A-Z])(?=.*[0-9]).*$", 3.4),
+    ("both cases", r"^(?=.*[a-z])(?=.*[A-Z]).*$", 3.7),
+    ("one case", r"", 3.5),
+)
 #: Runs that look random and are none: UUIDs, words joined by marks, counters, placeholders.
 ALLOWED = r"(?i:^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(?:[a-z]+[-_/+=])+[a-z]*[0-9]*$|0123456789|abcdefgh|example|placeholder|^[0-9_/+=-]+$)"
 _SPAN = "struct<start:int,rank:int,end:int,kind:string>"
