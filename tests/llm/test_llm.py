@@ -376,6 +376,15 @@ def test_toxicity_learns_and_knows_misspellings(spark):
     assert toxicity.keep_clean(frame, model).columns == frame.columns
 
 
+def test_toxicity_without_labels_keeps_all(spark, monkeypatch):
+    frame = docs(spark, ["some clean text", "and more of it", None])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.keep_clean(frame, toxicity.train(frame, none)).count() == 3
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 5)
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    assert toxicity.keep_clean(frame, toxicity.train(frame, labels, held_out=False)).count() == 3
+
+
 def test_held_out_rows(spark):
     from tickertide.llm.common import is_held_out
 

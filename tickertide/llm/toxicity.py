@@ -149,6 +149,11 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.log_odds(text), -500, 500))))
 
 
+def unlearned() -> Model:
+    """Without a row to learn from nothing counts as toxic: every score is below one half."""
+    return Model(fit([], []).bucket, -1.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: bool = True, sample: int = SAMPLE) -> Model:
     """Fit on the `sample` labelled rows of least hash; with held_out, rows whose crc32(id) mod 5 is 0 are left out."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
@@ -162,15 +167,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rows, room = [], SAMPLE_CHARS
         for batch in batches:
             for text, y in zip(batch.column(0), batch.column(1), strict=True):
-                room -= len(text.as_py() or "")
-                if room >= 0:
+                if len(text.as_py() or "") <= room:
+                    room -= len(text.as_py() or "")
                     rows.append((text.as_py() or "", y.as_py()))
-        model = fit([t for t, _ in rows], [y for _, y in rows])
+        model = fit([t for t, _ in rows], [y for _, y in rows]) if rows else unlearned()
         yield pa.RecordBatch.from_pydict({"bucket": pa.array([model.bucket.tobytes()], pa.binary()), "bias": pa.array([model.bias])})
 
     # one task fits the model on the bounded sample; the driver sees BUCKETS numbers
     found = texts.select("text", "y").repartition(1).mapInArrow(run, "bucket binary, bias double").first()
-    return Model(np.frombuffer(bytes(found["bucket"])), found["bias"]) if found else fit([], [])
+    return Model(np.frombuffer(bytes(found["bucket"])), found["bias"]) if found else unlearned()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
