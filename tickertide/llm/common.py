@@ -42,6 +42,20 @@ def unpark(spark: SparkSession, *tables: DataFrame) -> None:
             where.getFileSystem(conf).delete(where, True)
 
 
+#: Rows of a parked table up to which it is sent to all executors; beyond, it is joined by shuffle.
+FEW = 500_000
+
+
+def few(parked: DataFrame, most: int = FEW) -> DataFrame:
+    """A parked table, marked for broadcast if it has few rows."""
+    return F.broadcast(parked) if parked.count() <= most else parked
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """df's rows as one column `packed`, so that none of its names can clash with ours."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("packed"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
