@@ -59,7 +59,7 @@ def test_boundaries(spark, rule, passes, fails):
 def test_recency(spark):
     now = F.lit("2024-01-31 00:00:00").cast("timestamp")
     at = lambda h: now - F.make_interval(hours=F.lit(h))
-    assert one(spark, *(R.rule_bar_recency(at(h), now) for h in (48, 49, 0, -1))) == (None, "Data is too old", None, "Timestamp is in the future")
+    assert one(spark, *(R.rule_bar_recency(at(h), now) for h in (48, 49, 0, -1))) == (None, "Data is too old (older than 48 hours)", None, "Data timestamp is in the future")
 
 
 def test_labels(spark):

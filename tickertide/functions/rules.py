@@ -1,4 +1,4 @@
-"""Validation rules: each is a column that holds an error text, or null if the row passes."""
+"""Validation rules: each is a column that holds an error text, or null if the row passes. The texts of business rules are fixed values."""
 
 from __future__ import annotations
 
@@ -55,11 +55,26 @@ def rule_ohlc(open_: Column, high: Column, low: Column, close: Column) -> Column
 def rule_bar_recency(ts: Column, now: Column, cfg: RuleConfig = _CFG) -> Column:
     hours = F.expr(f"INTERVAL {cfg.bar_max_age_hours} HOURS")
     skew = F.expr(f"INTERVAL {cfg.bar_skew_minutes} MINUTES")
-    return F.when(ts < now - hours, "Data is too old").when(ts > now + skew, "Timestamp is in the future")
+    return F.when(ts.isNull(), "Invalid timestamp format").when(ts < now - hours, f"Data is too old (older than {cfg.bar_max_age_hours} hours)").when(ts > now + skew, "Data timestamp is in the future")
 
 
 def rule_price_band(close: Column) -> Column:
-    return _error(~((close > 0.001) & (close < 10000)), "Price is outside expected range")
+    outside = F.concat(F.lit("Price "), price_text(close), F.lit(" is outside expected range for most stocks"))
+    return F.when(close <= 0, "Price must be positive").when(~((close > 0.001) & (close < 10000)), outside)
+
+
+def rule_sudden_change(close: Column, before: Column, cfg: RuleConfig = _CFG) -> Column:
+    percent = change_percent(close, before)
+    return _error(percent > cfg.max_change_percent, F.concat(F.lit("Suspicious price change of "), F.format_string("%.2f", percent), F.lit("%")))
+
+
+def price_text(c: Column) -> Column:
+    """A double as the shortest decimal text: no exponent from 0.0001 up to 10 ** 16."""
+    plain = c.cast("string")
+    mantissa = F.regexp_replace(F.regexp_replace(plain, r"E.*$", ""), r"\.0$", "")
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    small = F.when(c >= 0.0001, F.concat(F.lit("0.000"), digits)).otherwise(F.concat(mantissa, F.lit("e-"), F.lpad(F.regexp_extract(plain, r"E-(\d+)$", 1), 2, "0")))
+    return F.when(c >= 1e16, F.regexp_replace(plain, r"(\.0)?E", "e+")).when(c >= 1e7, F.concat(F.regexp_replace(c.cast("decimal(38,9)").cast("string"), r"\.?0+$", ""), F.when(c == F.floor(c), ".0").otherwise(""))).when((c > 0) & (c < 0.001), small).otherwise(plain)
 
 
 def change_percent(close: Column, before: Column) -> Column:
@@ -76,14 +91,15 @@ def normalise_symbols(c: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def rule_reddit_time(created: Column, collected: Column, now: Column) -> Column:
+def rule_reddit_time(created: Column, collected: Column, now: Column, created_text: Column, collected_text: Column) -> Column:
     early = collected < created - F.expr("INTERVAL 5 MINUTES")
     ahead = created > now + F.expr("INTERVAL 10 MINUTES")
-    return F.when(early, "Collected before it was created").when(ahead, "Created in the future")
+    before = F.concat(F.lit("Collection timestamp "), collected_text, F.lit(" is significantly before creation timestamp "), created_text)
+    return F.when(early, before).when(ahead, F.concat(F.lit("Creation timestamp "), created_text, F.lit(" is suspiciously far in the future")))
 
 
-def warn_reddit_age(collected: Column, now: Column) -> Column:
-    return _error(collected < now - F.expr("INTERVAL 7 DAYS"), "Collected more than 7 days ago")
+def warn_reddit_age(collected: Column, now: Column, collected_text: Column) -> Column:
+    return _error(collected < now - F.expr("INTERVAL 7 DAYS"), F.concat(F.lit("Collection timestamp "), collected_text, F.lit(" is older than 7 days")))
 
 
 def _kept(*found: Column) -> Column:
@@ -91,24 +107,28 @@ def _kept(*found: Column) -> Column:
 
 
 def warn_post_quality(author: Column, title: Column, body: Column, is_self: Column) -> Column:
-    return _kept(_error((author == "[deleted]") & (title == "[deleted]"), "Deleted post"), _error(F.length(title) < 5, "Short title"), _error(is_self & (F.coalesce(body, F.lit("")) == "") & (F.length(title) < 20), "Self post with little content"))
+    return _kept(_error((author == "[deleted]") & (title == "[deleted]"), "Post appears to be deleted (author and title)."), _error(F.length(title) < 5, "Post has a very short title."), _error(is_self & (F.coalesce(body, F.lit("")) == "") & (F.length(title) < 20), "Self-post with no body and short title."))
 
 
 def warn_comment_quality(author: Column, body: Column) -> Column:
-    return _kept(_error((author == "[deleted]") & (body == "[deleted]"), "Deleted comment"), _error(F.length(body) < 3, "Short comment"))
+    return _kept(_error((author == "[deleted]") & (body == "[deleted]"), "Comment appears to be fully deleted."), _error(F.length(body) < 3, "Comment has a very short body."))
 
 
 def rule_title(title: Column, least: int = _CFG.title_min) -> Column:
-    return F.when(F.coalesce(title, F.lit("")) == "", "Missing title").when(F.length(title) < least, "Title is too short").when(is_upper(title), "Title is all upper case")
+    return F.when(F.coalesce(title, F.lit("")) == "", "Missing title").when(F.length(title) < least, f"Title too short (minimum {least} characters)").when(is_upper(title), "Title is all uppercase")
 
 
 def rule_content(description: Column, content: Column, least: int = _CFG.content_min) -> Column:
     longest = F.greatest(F.length(F.coalesce(description, F.lit(""))), F.length(F.coalesce(content, F.lit(""))))
-    return F.when(longest == 0, "No content").when(longest < least, "Content is too short")
+    return F.when(longest == 0, "Both description and content are missing").when(longest < least, f"Content too short (minimum {least} characters)")
 
 
 def rule_news_recency(published: Column, now: Column, cfg: RuleConfig = _CFG) -> Column:
-    return F.when(published.isNull(), "Unparsable date").when(published > now + F.expr("INTERVAL 1 HOUR"), "Published in the future").when(published < now - F.expr(f"INTERVAL {cfg.news_max_days} DAYS"), "Published too long ago")
+    """published: the text of the article's date."""
+    at = F.try_to_timestamp(published)
+    ahead = F.concat(F.lit("Publication date is in the future: "), published)
+    found = F.when(F.coalesce(published, F.lit("")) == "", "Missing publication timestamp").when(at.isNull(), F.concat(F.lit("Invalid publication timestamp format: "), published))
+    return found.when(at > now + F.expr("INTERVAL 1 HOUR"), ahead).when(at < now - F.expr(f"INTERVAL {cfg.news_max_days} DAYS"), f"Article too old (> {cfg.news_max_days} days)")
 
 
 def article_id(given: Column, url: Column) -> Column:

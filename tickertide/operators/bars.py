@@ -61,18 +61,34 @@ def volatility(bars: DataFrame, n: int) -> DataFrame:
 
 
 def ema_columns(bars: DataFrame, spans: dict[str, int], of: str = "close") -> DataFrame:
-    """Exponential means by an ordered fold for each symbol: e0 = x0, then e + 2 / (n + 1) * (x - e)."""
-    names = list(spans)
-    kind = bars.schema[of].dataType.simpleString()
-    items = bars.where(F.col(of).isNotNull()).groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("bar_ts", F.col(of).alias("x")))).alias("items"))
-    row = f"struct<bar_ts:timestamp_ntz,x:{kind}," + ",".join(f"{c}:double" for c in names) + ">"
-    start = F.struct(*(F.lit(None).cast("double").alias(c) for c in names), F.array().cast(f"array<{row}>").alias("out"))
-
-    def step(acc: Column, i: Column) -> Column:
-        now = [F.when(acc[c].isNull(), i["x"].cast("double")).otherwise(acc[c] + (i["x"] - acc[c]) * 2 / (n + 1)).alias(c) for c, n in spans.items()]
-        return F.struct(*now, F.array_append(acc["out"], F.struct(i["bar_ts"], i["x"], *now)).alias("out"))
+    """Exponential means of each symbol in order of time: e0 = x0, then e + 2 / (n + 1) * (x - e).
 
-    return items.select("symbol", F.inline(F.aggregate("items", start, step)["out"]))
+    The mean after a day is a factor times the mean before it, plus a term of the day's own bars. So days are folded
+    apart from each other, a symbol's days (one small row each) are run through in order, and each day's bars then
+    start from the mean before it: no task holds more than a day's bars.
+    """
+    names = list(spans)
+    rows = bars.where(F.col(of).isNotNull()).select("symbol", F.to_date("bar_ts").alias("day"), F.struct("bar_ts", F.col(of).alias("x")).alias("i"))
+    days = rows.groupBy("symbol", "day").agg(F.array_sort(F.collect_list("i")).alias("items"))
+    kinds = {c: bars.schema[n].dataType.simpleString() for c, n in (("bar_ts", "bar_ts"), ("x", of))}
+    step = lambda acc, x: [(acc[c] + (x.cast("double") - acc[c]) * 2 / (n + 1)).alias(c) for c, n in spans.items()]
+    own = F.aggregate("items", F.struct(*(F.lit(0.0).alias(c) for c in names)), lambda acc, i: F.struct(*step(acc, i["x"])))
+    parts = days.select("symbol", F.struct("day", F.size("items").alias("m"), F.col("items")[0]["x"].cast("double").alias("x"), own.alias("own")).alias("d"))
+    start = F.struct(*(F.lit(None).cast("double").alias(c) for c in names), F.array().cast("array<struct<day:date," + ",".join(f"{c}:double" for c in names) + ">>").alias("all"))
+
+    def carry(acc: Column, d: Column) -> Column:
+        before = [F.coalesce(acc[c], d["x"]).alias(c) for c in names]
+        after = [(F.coalesce(acc[c], d["x"]) * F.pow(F.lit(1 - 2 / (n + 1)), d["m"]) + d["own"][c]).alias(c) for c, n in spans.items()]
+        return F.struct(*after, F.array_append(acc["all"], F.struct(d["day"].alias("day"), *before)).alias("all"))
+
+    carried = parts.groupBy("symbol").agg(F.array_sort(F.collect_list("d")).alias("ds")).select("symbol", F.inline(F.aggregate("ds", start, carry)["all"]))
+    none = F.array().cast(f"array<struct<bar_ts:{kinds['bar_ts']},x:{kinds['x']}," + ",".join(f"{c}:double" for c in names) + ">>")
+
+    def fill(acc: Column, i: Column) -> Column:
+        now = step(acc, i["x"])
+        return F.struct(*now, F.array_append(acc["all"], F.struct(i["bar_ts"].alias("bar_ts"), i["x"].alias("x"), *now)).alias("all"))
+
+    return days.join(carried, ["symbol", "day"]).select("symbol", F.inline(F.aggregate("items", F.struct(*(F.col(c).alias(c) for c in names), none.alias("all")), fill)["all"]))
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:

@@ -69,9 +69,10 @@ def comment_record(comments: DataFrame) -> DataFrame:
 
 
 def enrich_news(news: DataFrame, collected_at: Column, collector_id: str) -> DataFrame:
+    """news with publishedAt (a text): the parts of the date, which are null where it cannot be read, and counts of the content."""
     from tickertide.functions.text import text_stats
 
-    day = F.timestamp_seconds("published_utc")
+    day = F.try_to_timestamp("publishedAt")
     stats = F.when(F.coalesce("content", F.lit("")) != "", text_stats(F.col("content")))
     return news.withColumn("collected_at", collected_at).withColumn("collector_id", F.lit(collector_id)).withColumn("source_type", F.lit("newsapi")).withColumn("published_at", iso(day)).withColumn("published_date", F.date_format(day, "yyyy-MM-dd")).withColumn("published_time", F.date_format(day, "HH:mm:ss")).withColumn("published_timezone", F.lit("UTC")).withColumn("content_stats", stats)
 
@@ -81,12 +82,25 @@ def message_key(kind: str, ident: Column) -> Column:
     return named if kind == "market" else F.concat(F.lit(f"{kind}_"), named)
 
 
-def invalid_envelope(payload: Column, errors: Column, now: Column) -> Column:
-    return F.to_json(F.struct(payload.alias("original_message"), errors.alias("validation_errors"), now.alias("processing_timestamp")))
+def log_context(topic: Column, offset: Column, item_id: Column) -> Column:
+    return F.struct(F.coalesce(topic, F.lit("unknown")).alias("topic"), F.coalesce(offset, F.lit(-1)).alias("offset"), F.coalesce(item_id, F.lit("UNKNOWN_ID")).alias("item_id"))
 
 
-def error_envelope(payload: Column, kind: str, message: Column, service: str, now: Column) -> Column:
-    return F.to_json(F.struct(F.lit(kind).alias("error_type"), message.alias("error_message"), F.lit(service).alias("service_name"), now.alias("error_timestamp"), payload.alias("original_payload")))
+def invalid_envelope(payload: Column, errors: Column, now: Column, context: Column | None = None, news: bool = False) -> Column:
+    """What goes to the invalid topic; the news service names its parts otherwise."""
+    names = ("article", "errors", "timestamp") if news else ("original_message", "validation_errors", "processing_timestamp")
+    parts = [c.alias(n) for c, n in zip((payload, errors, now), names, strict=True)]
+    return F.to_json(F.struct(*parts, *([] if context is None else [context.alias("log_context")])))
+
+
+def not_an_object_envelope(payload: Column, message: Column, context: Column) -> Column:
+    """What goes to the error topic for a value that is no object."""
+    return F.to_json(F.struct(payload.alias("original_payload"), message.alias("error"), context.alias("context")))
+
+
+def error_envelope(payload: Column, kind: str, message: Column, service: str, now: Column, context: Column | None = None) -> Column:
+    parts = [F.lit(kind).alias("error_type"), message.alias("error_message"), F.lit(service).alias("service_name"), now.alias("error_timestamp"), payload.alias("original_payload")]
+    return F.to_json(F.struct(*parts, *([] if context is None else [context.alias("log_context")])))
 
 
 def bar_schema_errors(payload: Column) -> list[Column]:
@@ -105,8 +119,8 @@ def bar_schema_errors(payload: Column) -> list[Column]:
     return found
 
 
-def validate_bars(classified: DataFrame, now: Column) -> DataFrame:
-    """classify_payload's rows of kind object -> typed fields, errors (array), in one narrow stage."""
+def validate_bars(classified: DataFrame, now: Column, previous: Column | None = None) -> DataFrame:
+    """classify_payload's rows of kind object -> typed fields, errors (array), in one narrow stage. previous: the symbol's last accepted close, if known."""
     typed = classified.select("*", *(F.try_variant_get("payload", f"$.{n}", k).alias(n) for n, k in BAR_FIELDS.items()))
     c = F.col
     schema = bar_schema_errors(c("payload"))
@@ -114,32 +128,48 @@ def validate_bars(classified: DataFrame, now: Column) -> DataFrame:
     schema += [R.check_price(n, c(n)) for n in ("open", "high", "low", "close", "vwap")] + [R.check_count(n, c(n)) for n in ("volume", "transactions")]
     schema += [F.when(c("collection_timestamp").isNotNull(), R.check_iso("collection_timestamp", c("collection_timestamp")))]
     business = [R.rule_ohlc(c("open"), c("high"), c("low"), c("close")), R.rule_bar_recency(R.epoch_ms(c("timestamp")), now), R.rule_price_band(c("close"))]
-    return typed.withColumn("errors", R.all_errors(schema, business))
-
-
-def validate_posts(posts: DataFrame, now: Column, collected: str = "collected_utc") -> DataFrame:
-    """Typed posts or comments -> errors and warnings."""
-    c = F.col
-    is_post, is_comment = c("content_type") == "post", c("content_type") == "comment"
-    schema = [
-        R.field_error("content_type", ~(F.coalesce(is_post | is_comment, F.lit(False))), "invalid"),
-        R.field_error("source", F.coalesce(c("source") != "reddit", F.lit(True)), "literal"),
-        F.when(is_post, R.field_error("title", F.coalesce(F.length("title") < 1, F.lit(True)), "min_length")),
-        F.when(is_post, R.field_error("upvote_ratio", ~F.coalesce(c("upvote_ratio").between(0, 1), F.lit(False)), "range")),
-        F.when(is_post, R.field_error("num_comments", F.coalesce(c("num_comments") < 0, F.lit(True)), "min")),
-        F.when(is_comment, R.field_error("body", F.coalesce(F.length("body") < 1, F.lit(True)), "min_length")),
-        F.when(is_comment, R.field_error("post_id", F.coalesce(c("post_id").cast("string") == "", F.lit(True)), "missing")),
-        R.field_error("created_datetime", c("created_utc").isNull(), "missing"),
-    ]
-    created, got = F.timestamp_seconds("created_utc"), F.timestamp_seconds(collected)
-    warnings = F.concat(F.when(is_post, R.warn_post_quality(c("author"), c("title"), c("selftext"), c("is_self"))).otherwise(R.warn_comment_quality(c("author"), c("body"))), F.filter(F.array(R.warn_reddit_age(got, now)), lambda x: x.isNotNull()))
-    return posts.withColumn("errors", R.all_errors(schema, [R.rule_reddit_time(created, got, now)])).withColumn("warnings", warnings)
+    if previous is not None:
+        business.append(R.rule_sudden_change(c("close"), previous))
+    return typed.withColumn("errors", R.all_errors(schema, business)).withColumn("symbol", F.upper("symbol"))
+
+
+#: What every post and comment must have, in the order in which it is checked.
+REDDIT_REQUIRED = ("id", "source", "content_type", "collection_timestamp", "created_utc", "author", "score", "subreddit", "permalink")
+POST_REQUIRED, COMMENT_REQUIRED = ("url", "is_self"), ("post_id", "parent_id")
+
+
+def validate_posts(posts: DataFrame, now: Column) -> DataFrame:
+    """Typed posts or comments of POST_SCHEMA -> errors and warnings. Columns that posts do not have count as null."""
+    missing = {f.split()[0]: f.split()[1] for f in POST_SCHEMA.split(", ")}
+    names = [*REDDIT_REQUIRED, "title", "selftext", "url", "is_self", "upvote_ratio", "num_comments", "post_id", "body", "parent_id"]
+    c = lambda n: F.col(n) if n in posts.columns else F.lit(None).cast(missing[n])
+    texts = [F.col(n) for n in ("created_datetime", "post_created_datetime", "comment_created_datetime") if n in posts.columns]
+    texts = [F.when(R.check_iso_utc("", t).isNull(), t) for t in texts]
+    created, got = R.created_datetime(c("created_utc"), *texts), F.try_to_timestamp(c("collection_timestamp"))
+    is_post, is_comment = F.coalesce(c("content_type") == "post", F.lit(False)), F.coalesce(c("content_type") == "comment", F.lit(False))
+    absent = lambda n: R.field_error(n, c(n).isNull(), "missing")
+    schema = [absent(n) for n in names[:2]] + [R.field_error("source", c("source") != "reddit", "literal")]
+    schema += [absent("collection_timestamp"), F.when(c("collection_timestamp").isNotNull(), R.check_iso_utc("collection_timestamp", c("collection_timestamp")))]
+    schema += [absent(n) for n in REDDIT_REQUIRED[4:]] + [R.field_error("created_datetime", created.isNull(), "missing")]
+    schema += [F.when(is_post, x) for x in (R.field_error("title", F.coalesce(F.length(c("title")) < 1, F.lit(True)), "min_length"), *map(absent, POST_REQUIRED), R.field_error("upvote_ratio", ~F.coalesce(c("upvote_ratio").between(0, 1), F.lit(False)), "range"), R.field_error("num_comments", F.coalesce(c("num_comments") < 0, F.lit(True)), "min"))]
+    empty = lambda n: R.field_error(n, F.coalesce(c(n).cast("string") == "", F.lit(True)), "missing")
+    schema += [F.when(is_comment, x) for x in (empty("post_id"), R.field_error("body", F.coalesce(F.length(c("body")) < 1, F.lit(True)), "min_length"), empty("parent_id"))]
+    unknown = F.concat(F.lit("Schema error: Invalid or missing 'content_type': "), F.coalesce(c("content_type"), F.lit("None")))
+    time = R.rule_reddit_time(created, got, now, iso(created), c("collection_timestamp"))
+    errors = F.when(is_post | is_comment, R.all_errors(schema, [time])).otherwise(F.array(unknown))
+    quality = F.when(is_post, R.warn_post_quality(c("author"), c("title"), c("selftext"), c("is_self"))).otherwise(R.warn_comment_quality(c("author"), c("body")))
+    warnings = F.concat(quality, F.filter(F.array(R.warn_reddit_age(got, now, c("collection_timestamp"))), lambda x: x.isNotNull()))
+    return posts.withColumn("errors", errors).withColumn("warnings", warnings)
+
+
+NEWS_REQUIRED = ("publishedAt", "source", "collected_at", "collector_id")
 
 
 def validate_news(news: DataFrame, now: Column) -> DataFrame:
     c = F.col
     schema = [R.field_error("title", F.coalesce(F.length("title") < 1, F.lit(True)), "min_length"), R.field_error("url", F.coalesce(F.length("url") < 10, F.lit(True)), "min_length")]
-    business = [R.rule_title(c("title")), R.rule_content(c("description"), c("content")), R.rule_news_recency(F.timestamp_seconds("published_utc"), now)]
+    schema += [R.field_error(n, c(n).isNull(), "missing") for n in NEWS_REQUIRED]
+    business = [R.rule_title(c("title")), R.rule_content(c("description"), c("content")), R.rule_news_recency(c("publishedAt"), now)]
     return news.withColumn("errors", R.all_errors(schema, business))
 
 

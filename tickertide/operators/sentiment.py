@@ -28,18 +28,76 @@ def tokens(df: DataFrame, id_col: str, text: Column, look_back: int = 3) -> Data
     return words.select(id_col, F.explode(items).alias("t")).select(id_col, "t.*")
 
 
+#: Terms up to which a lexicon is written into the expression; a larger one is joined.
+WRITTEN = 20_000
+
+
+def terms_of(lexicon: DataFrame) -> list[tuple[str, float]] | None:
+    """The lexicon's terms in order of their bytes, or None if there are more than WRITTEN; a term that repeats counts once, with its greatest valence."""
+    rows = lexicon.groupBy("term").agg(F.max("valence").alias("valence")).where("term is not null and valence is not null").limit(WRITTEN + 1).collect()
+    return sorted(((r["term"], float(r["valence"])) for r in rows), key=lambda r: r[0].encode()) if len(rows) <= WRITTEN else None
+
+
+def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def lexicon_scores(text: Column, terms: list[tuple[str, float]], negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig(), look_back: int = 3) -> Column:
+    """compound, pos, neg, neu of a text, as one expression: no shuffle, and it runs on streams. Words are looked up in `terms` by halving."""
+    empty = F.struct(F.lit(0.0).alias("compound"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"), F.lit(1.0).alias("neu"))
+    if not terms:
+        return empty
+    names, values = F.array(*(F.lit(t) for t, _ in terms)), F.array(*(F.lit(v) for _, v in terms))
+
+    def valence(w: Column) -> Column:
+        def halve(acc: Column, _: Column) -> Column:
+            mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+            return F.when(F.get(names, mid) <= w, F.struct(mid.alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+
+        steps = F.sequence(F.lit(1), F.lit(max(1, len(terms).bit_length())))
+        return F.get(values, F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(terms)).alias("hi")), halve)["lo"])
+
+    def value(ws: Column, i: Column) -> Column:
+        before = F.slice(ws, F.greatest(i - look_back + 1, F.lit(1)), F.least(i, F.lit(look_back)))
+        has = lambda some: F.exists(before, lambda b: b.isin(*some)) if some else F.lit(False)
+        boosted = lambda v: v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)
+        return _bind(valence(ws[i]), lambda v: F.when(v == 0, 0.0).otherwise(boosted(v) * F.when(has(negations), cfg.negation).otherwise(1.0)))
+
+    def scored(ws: Column) -> Column:
+        hits = F.filter(F.transform(ws, lambda w, i: F.when(w.isin(*(t for t, _ in terms)), i)), lambda i: i.isNotNull())
+        found = F.filter(F.transform(hits, lambda i: value(ws, i)), lambda v: v != 0)
+        add = lambda vs, f: F.aggregate(vs, F.lit(0.0), lambda acc, v: acc + f(v))
+        sums = lambda vs: F.struct(add(vs, lambda v: v).alias("s"), add(vs, lambda v: F.when(v > 0, v + 1).otherwise(0.0)).alias("p"), add(vs, lambda v: F.when(v < 0, 1 - v).otherwise(0.0)).alias("n"), (F.size(ws) - F.size(vs)).cast("double").alias("z"))
+        total = lambda x: x["p"] + x["n"] + x["z"]
+        out = lambda x: F.struct((x["s"] / F.sqrt(x["s"] * x["s"] + cfg.alpha)).alias("compound"), (x["p"] / total(x)).alias("pos"), (x["n"] / total(x)).alias("neg"), (x["z"] / total(x)).alias("neu"))
+        return F.when(F.size(ws) > 0, _bind(found, lambda vs: _bind(sums(vs), out))).otherwise(empty)
+
+    return F.coalesce(_bind(X.words(F.lower(text)), scored), empty)
+
+
 def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, id_col: str = "id", text: Column | str = "text", negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig()) -> DataFrame:
     """lexicon (term, valence) -> id, compound, pos, neg, neu. Empty texts: 0, 0, 0, 1."""
     text = F.col(text) if isinstance(text, str) else text
-    words = tokens(df, id_col, text).join(small(lexicon.select(F.col("term").alias("token"), "valence")), "token", "left")
+    terms = terms_of(lexicon)
+    if terms is not None:
+        return df.select(id_col, lexicon_scores(text, terms, negations, boosters, cfg).alias("fast")).select(id_col, "fast.*")
+    return joined_sentiment(df, lexicon, id_col, text, negations, boosters, cfg)
+
+
+def joined_sentiment(df: DataFrame, lexicon: DataFrame, id_col: str, text: Column, negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig()) -> DataFrame:
+    """The same by a join of every token with a lexicon of any size."""
+    words = tokens(df, id_col, text)
+    known = words.join(lexicon.groupBy(F.col("term").alias("token")).agg(F.max("valence").alias("valence")), "token")
     has = lambda ws: F.exists("before", lambda b: b.isin(*ws)) if ws else F.lit(False)
-    v = F.coalesce("valence", F.lit(0.0))
+    v = F.col("valence")
     v = F.when(v == 0, 0.0).otherwise((v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)) * F.when(has(negations), cfg.negation).otherwise(1.0))
-    sums = words.select(id_col, v.alias("v")).groupBy(id_col).agg(F.sum("v").alias("s"), F.sum(F.when(F.col("v") > 0, F.col("v") + 1).otherwise(0.0)).alias("p"), F.sum(F.when(F.col("v") < 0, 1 - F.col("v")).otherwise(0.0)).alias("n"), F.count_if(F.col("v") == 0).cast("double").alias("z"))
-    total = F.col("p") + F.col("n") + F.col("z")
-    scored = sums.select(F.col(id_col).alias("_id"), (F.col("s") / F.sqrt(F.col("s") * F.col("s") + cfg.alpha)).alias("compound"), (F.col("p") / total).alias("pos"), (F.col("n") / total).alias("neg"), (F.col("z") / total).alias("neu"))
-    joined = df.select(id_col).join(scored, F.col(id_col) == F.col("_id"), "left")
-    return joined.select(id_col, *(F.coalesce(c, F.lit(d)).alias(c) for c, d in (("compound", 0.0), ("pos", 0.0), ("neg", 0.0), ("neu", 1.0))))
+    sums = known.select(id_col, v.alias("v")).groupBy(F.col(id_col).alias("_id")).agg(F.sum("v").alias("s"), F.sum(F.when(F.col("v") > 0, F.col("v") + 1).otherwise(0.0)).alias("p"), F.sum(F.when(F.col("v") < 0, 1 - F.col("v")).otherwise(0.0)).alias("n"), F.count_if(F.col("v") != 0).alias("k"))
+    rows = df.select(id_col, F.coalesce(F.size(X.words(F.lower(text))), F.lit(0)).alias("size")).join(sums, F.col(id_col) == F.col("_id"), "left")
+    s, p, n = (F.coalesce(c, F.lit(0.0)) for c in ("s", "p", "n"))
+    z = (F.col("size") - F.coalesce("k", F.lit(0))).cast("double")
+    share = lambda c, none: F.when(F.col("size") > 0, c / (p + n + z)).otherwise(none)
+    return rows.select(id_col, (s / F.sqrt(s * s + cfg.alpha)).alias("compound"), share(p, 0.0).alias("pos"), share(n, 0.0).alias("neg"), share(z, 1.0).alias("neu"))
 
 
 def score_distinct(df: DataFrame, text_col: str, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -74,11 +132,17 @@ def fit_default_model(labelled: DataFrame, text_col: str = "text", label_col: st
     return Pipeline(stages=stages).fit(labelled)
 
 
-def score_posts(posts: DataFrame, lexicon: DataFrame, deep: DataFrame | None = None, cfg: SentimentConfig = SentimentConfig(), text_cfg: TextConfig = TextConfig(), negations: Sequence[str] = (), boosters: Sequence[str] = ()) -> DataFrame:
-    """The chain from raw posts to label, score, confidence, impact and ticker sentiments. deep: id, p_neg, p_neu, p_pos."""
+def score_posts(posts: DataFrame, lexicon: DataFrame | list[tuple[str, float]], deep: DataFrame | None = None, cfg: SentimentConfig = SentimentConfig(), text_cfg: TextConfig = TextConfig(), negations: Sequence[str] = (), boosters: Sequence[str] = ()) -> DataFrame:
+    """The chain from raw posts to label, score, confidence, impact and ticker sentiments. deep: id, p_neg, p_neu, p_pos.
+
+    lexicon: a table, or the sorted terms of terms_of(); with these and without deep scores it is one narrow stage and runs on a stream.
+    """
     rows = posts.withColumn("pre", X.preprocess(F.col("title"), F.col("selftext"), F.col("subreddit"), F.col("score"), F.col("upvote_ratio"), F.col("num_comments"), text_cfg))
-    fast = lexicon_sentiment(rows, lexicon, "id", F.col("pre.cleaned_text"), negations, boosters, cfg)
-    rows = rows.join(fast, "id")
+    terms = terms_of(lexicon) if isinstance(lexicon, DataFrame) else lexicon
+    if terms is not None:
+        rows = rows.withColumn("fast", lexicon_scores(F.col("pre.cleaned_text"), terms, negations, boosters, cfg)).select("*", "fast.*").drop("fast")
+    else:
+        rows = rows.join(joined_sentiment(rows, lexicon, "id", F.col("pre.cleaned_text"), negations, boosters, cfg), "id")
     if deep is None:
         rows = rows.withColumn("deep_score", F.lit(None).cast("double"))
     else:

@@ -118,11 +118,21 @@ def strong_signals(rows: DataFrame, score: float = 0.4, confidence: float = 0.8)
 
 
 def asof_price(sentiment: DataFrame, bars: DataFrame, tolerance_seconds: int | None = None) -> DataFrame:
-    """sentiment (symbol, ts, id, score) with price and price_ts of the last bar at or before ts: one shuffle by symbol, no range join."""
-    left = sentiment.select("symbol", "ts", F.lit(1).alias("side"), "id", "score", F.lit(None).cast("double").alias("p"), F.lit(None).cast("timestamp_ntz").alias("t"))
-    right = bars.select("symbol", F.col("bar_ts").alias("ts"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("double").alias("score"), F.col("close").alias("p"), F.col("bar_ts").alias("t"))
-    w = Window.partitionBy("symbol").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
-    rows = left.unionByName(right).withColumn("price", F.last("p", ignorenulls=True).over(w)).withColumn("price_ts", F.last("t", ignorenulls=True).over(w)).where("side = 1")
+    """sentiment (symbol, ts, id, score) with price and price_ts of the last bar with a close at or before ts.
+
+    No range join: both sides are united and run through by symbol and day, and what a day does not hold itself comes
+    from the last bar of the days before, of which there is one row a symbol and day.
+    """
+    known = bars.where("close is not null")
+    bar = F.struct(F.col("bar_ts").alias("t"), F.col("close").cast("double").alias("p"))
+    left = sentiment.select("symbol", F.to_date("ts").alias("day"), "ts", F.lit(1).alias("side"), "id", "score", F.lit(None).cast(known.select(bar.alias("b")).schema["b"].dataType).alias("bar"))
+    right = known.select("symbol", F.to_date("bar_ts").alias("day"), F.col("bar_ts").alias("ts"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("double").alias("score"), bar.alias("bar"))
+    rows = left.unionByName(right)
+    within = Window.partitionBy("symbol", "day").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("symbol").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("symbol", "day").agg(F.max("bar").alias("last")).withColumn("before", F.last("last", ignorenulls=True).over(earlier)).drop("last")
+    rows = rows.withColumn("found", F.last("bar", ignorenulls=True).over(within)).where("side = 1").join(before, ["symbol", "day"])
+    rows = rows.withColumn("found", F.coalesce("found", "before")).withColumn("price", F.col("found.p")).withColumn("price_ts", F.col("found.t"))
     if tolerance_seconds is not None:
         near = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.col("price_ts").cast("timestamp")) <= tolerance_seconds
         rows = rows.withColumn("price", F.when(near, F.col("price"))).withColumn("price_ts", F.when(near, F.col("price_ts")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from tickertide.operators.sentiment import small
 
@@ -133,7 +136,7 @@ def sentiment_by_date(scored: DataFrame) -> DataFrame:
 
 def validation_stats(routed: DataFrame, ts: str = "ts", interval: str = "60 seconds") -> DataFrame:
     a = routed.groupBy(F.window(ts, interval).alias("w")).agg(F.count("*").alias("processed"), F.count_if(F.col("outcome") == "valid").alias("valid"), F.count_if(F.col("outcome") == "invalid").alias("invalid"), F.count_if(F.col("outcome") == "error").alias("errors"))
-    return a.select(F.col("w.start").alias("start"), "processed", "valid", "invalid", "errors", (F.col("valid") * 100.0 / F.col("processed")).alias("valid_percent"))
+    return a.select(F.col("w.start").alias("start"), "processed", "valid", "invalid", "errors", *((F.col(c) * 100.0 / F.col("processed")).alias(p) for c, p in (("valid", "valid_percent"), ("invalid", "invalid_percent"), ("errors", "error_percent"))))
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -184,19 +187,28 @@ def with_last_valid(bars: DataFrame, max_percent: float = 20.0) -> DataFrame:
     """bars (symbol, bar_ts, close, ok) -> the same with last_close (of the last accepted bar before) and accepted.
 
     A row is accepted if it is ok and its close moved no more than max_percent from the last accepted one. Acceptance
-    depends on earlier acceptance, so each symbol's bars are folded in order; lag would give another answer. One
-    symbol's history must fit in one task: streaming.keyed holds the state where it does not.
+    depends on earlier acceptance, so lag would give another answer: each symbol's bars pass by in order and only the
+    last accepted close is held, so a history of any length takes time in proportion and no memory. Columns named
+    last_close and accepted are replaced.
     """
-    item = F.struct("bar_ts", "close", "ok", F.struct(*[c for c in bars.columns if c != "symbol"]).alias("row"))
-    kind = bars.select(item.alias("i")).schema["i"].dataType["row"].dataType.simpleString()
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast(f"array<struct<row:{kind},last_close:double,accepted:boolean>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        good = F.coalesce(x["ok"], F.lit(False)) & x["close"].isNotNull() & (acc["last"].isNull() | ~(F.abs(x["close"] - acc["last"]) / acc["last"] * 100 > max_percent))
-        return F.struct(F.when(good, x["close"]).otherwise(acc["last"]).alias("last"), F.array_append(acc["out"], F.struct(x["row"].alias("row"), acc["last"].alias("last_close"), good.alias("accepted"))).alias("out"))
-
-    folded = bars.groupBy("symbol").agg(F.array_sort(F.collect_list(item)).alias("items")).select("symbol", F.aggregate("items", start, step)["out"].alias("out"))
-    return folded.select("symbol", F.inline("out")).select("symbol", "row.*", "last_close", "accepted")
+    bars = bars.drop("last_close", "accepted")
+    at = [bars.columns.index(c) for c in ("symbol", "close", "ok")]
+    schema = StructType([*bars.schema.fields, StructField("last_close", DoubleType()), StructField("accepted", BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbol, last, begun = None, None, False
+        for batch in batches:
+            before, accepted = [], []
+            for name, close, ok in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
+                if not begun or name != symbol:
+                    symbol, last, begun = name, None, True
+                good = bool(ok) and close is not None and (last is None or not abs(close - last) / last * 100 > max_percent)
+                before.append(last)
+                accepted.append(good)
+                last = float(close) if good else last
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.float64()), pa.array(accepted, pa.bool_())], names=schema.names)
+
+    return bars.repartition("symbol").sortWithinPartitions("symbol", "bar_ts", "close", "ok").mapInArrow(run, schema)
 
 
 def latest_valid_per_symbol(folded: DataFrame) -> DataFrame:

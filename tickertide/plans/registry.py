@@ -89,9 +89,12 @@ FROM (SELECT posts.*, compound, compound * least(1.0, 0.5 + score / 1000.0::doub
 _IMPACT = "CASE WHEN confidence > 0.8 THEN CASE WHEN abs(sentiment_score) > 0.5 THEN 'high' ELSE 'moderate' END ELSE CASE WHEN abs(sentiment_score) > 0.3 THEN 'moderate' ELSE 'low' END END"
 
 
+#: The chain with its cleaning switched off, as the SQL of most queries has it; t9_whole_chain switches all of it on.
+PLAIN = O.TextConfig(remove_urls=False, remove_html=False, remove_mentions=False)
+
+
 def scored(spark, d):
-    posts = V.posts(spark, d)
-    return O.score_posts(posts, V.lexicon(spark), negations=V.NEGATIONS, boosters=V.BOOSTERS, text_cfg=O.TextConfig(remove_urls=False, remove_html=False, remove_mentions=False))
+    return O.score_posts(V.posts(spark, d), V.lexicon(spark), negations=V.NEGATIONS, boosters=V.BOOSTERS, text_cfg=PLAIN)
 
 
 # text
@@ -191,6 +194,21 @@ def _(s, d):
     return scored(s, d).select("id", "sentiment_label", r6("sentiment_score").alias("sentiment_score"), r6("confidence").alias("confidence"), "market_impact")
 
 
+_CLEANED = r"""SELECT * REPLACE (regexp_replace(regexp_replace(regexp_replace(title || ' ' || selftext, 'https?://\S+', '', 'g'), '<[^>]+>', '', 'g'), '@[\p{L}\p{M}\p{N}_]+', '', 'g') AS selftext, NULL AS title) FROM posts"""
+_DEEP = "CASE WHEN id % 5 = 0 THEN NULL WHEN b > 0.7 THEN 0.75 WHEN b > 0.5 THEN 0.25 WHEN a > 0.7 THEN -0.75 WHEN a > 0.5 THEN -0.25 ELSE 0.0 END"
+
+
+@query("t9_whole_chain", f"WITH raw AS (SELECT * FROM posts), cleaned AS ({_CLEANED}), {lex_sql('lexicon').replace('FROM posts', 'FROM cleaned')}, p AS (SELECT id, (id % 11) / 10.0::double AS a, (1 - (id % 11) / 10.0::double) * (id % 7) / 6.0::double AS b FROM posts), deep AS (SELECT id, cast({_DEEP} AS double) AS deep FROM p) SELECT id, round(CASE WHEN deep IS NULL THEN compound ELSE 0.3 * compound + 0.7 * deep END * least(1.0, 0.5 + score / 1000.0::double) * upvote_ratio, 6) AS sentiment_score FROM posts JOIN lex USING (id) JOIN deep USING (id)", "posts lexicon")
+def _(s, d):
+    posts = V.posts(s, d)
+    a = (F.col("id") % 11) / F.lit(10.0)
+    b = (1 - a) * (F.col("id") % 7) / F.lit(6.0)
+    known = F.col("id") % 5 != 0
+    deep = posts.select("id", *(F.when(known, c).alias(n) for c, n in ((a, "p_neg"), (1 - a - b, "p_neu"), (b, "p_pos"))))
+    r = O.score_posts(posts, V.lexicon(s), deep, negations=V.NEGATIONS, boosters=V.BOOSTERS)
+    return r.select("id", r6("sentiment_score").alias("sentiment_score"))
+
+
 @query("t8_deep_scores")
 def _(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
@@ -350,10 +368,10 @@ def _(s, d):
 _OUTCOME = "CASE WHEN id % 17 = 0 THEN 'error' WHEN length(title) < 10 THEN 'invalid' ELSE 'valid' END"
 
 
-@query("a9_validation_stats", f"SELECT created_utc - created_utc % 86400 AS start, count(*) AS processed, count(*) FILTER (o = 'valid') AS valid, count(*) FILTER (o = 'invalid') AS invalid, count(*) FILTER (o = 'error') AS errors, round(count(*) FILTER (o = 'valid') * 100.0::double / count(*), 6) AS valid_percent FROM (SELECT *, {_OUTCOME} AS o FROM posts) GROUP BY 1", "posts")
+@query("a9_validation_stats", f"SELECT created_utc - created_utc % 86400 AS start, count(*) AS processed, count(*) FILTER (o = 'valid') AS valid, count(*) FILTER (o = 'invalid') AS invalid, count(*) FILTER (o = 'error') AS errors, round(count(*) FILTER (o = 'valid') * 100.0::double / count(*), 6) AS valid_percent, round(count(*) FILTER (o = 'invalid') * 100.0::double / count(*), 6) AS invalid_percent, round(count(*) FILTER (o = 'error') * 100.0::double / count(*), 6) AS error_percent FROM (SELECT *, {_OUTCOME} AS o FROM posts) GROUP BY 1", "posts")
 def _(s, d):
     routed = V.posts(s, d).select(F.timestamp_seconds("created_utc").alias("ts"), F.expr(_OUTCOME).alias("outcome"))
-    return T.validation_stats(routed, "ts", "1 day").select(F.unix_timestamp("start").alias("start"), "processed", "valid", "invalid", "errors", r6("valid_percent").alias("valid_percent"))
+    return T.validation_stats(routed, "ts", "1 day").select(F.unix_timestamp("start").alias("start"), "processed", "valid", "invalid", "errors", *(r6(c).alias(c) for c in ("valid_percent", "invalid_percent", "error_percent")))
 
 
 @query("a10_collection_counts", "SELECT subreddit, m AS collection_method, count(*) AS n FROM (SELECT subreddit, CASE WHEN score >= 2500 THEN 'top/week' ELSE 'new' END AS m FROM posts WHERE score >= 2500 OR id % 2 = 0) GROUP BY 1, 2", "posts")
@@ -475,10 +493,10 @@ _BARERR = f"""WITH e AS (SELECT symbol, epoch(bar_ts)::bigint AS t, h % 31 = 0 A
  FROM (SELECT *, epoch(bar_ts)::bigint // 3600 AS h FROM raw_bars)),
 f AS (SELECT symbol, t, list_filter([CASE WHEN close IS NULL THEN 'Schema error: Field ''close'': missing' END, CASE WHEN typ THEN 'Schema error: Field ''volume'': type' END, CASE WHEN extra THEN 'Schema error: Field ''extra'': extra_forbidden' END, CASE WHEN volume < 0 AND NOT typ THEN 'Schema error: Field ''volume'': count_bounds' END], lambda x: x IS NOT NULL) AS se,
 list_filter([CASE WHEN close IS NOT NULL AND (high < open OR high < low OR high < close OR low > open OR low > high OR low > close) THEN 'Business rule error: ' || array_to_string(list_filter([CASE WHEN high < open OR high < low OR high < close THEN 'High price is not the highest value' END, CASE WHEN low > open OR low > high OR low > close THEN 'Low price is not the lowest value' END], lambda x: x IS NOT NULL), '; ') END,
-CASE WHEN t < {NOW_S} - 48 * 3600 THEN 'Business rule error: Data is too old' WHEN t > {NOW_S} + 300 THEN 'Business rule error: Timestamp is in the future' END, CASE WHEN NOT (close > 0.001 AND close < 10000) THEN 'Business rule error: Price is outside expected range' END], lambda x: x IS NOT NULL) AS be FROM e)"""
+CASE WHEN t < {NOW_S} - 48 * 3600 THEN 'Business rule error: Data is too old (older than 48 hours)' WHEN t > {NOW_S} + 300 THEN 'Business rule error: Data timestamp is in the future' END, CASE WHEN close <= 0 THEN 'Business rule error: Price must be positive' WHEN NOT (close > 0.001 AND close < 10000) THEN 'Business rule error: Price ' || cast(close AS varchar) || ' is outside expected range for most stocks' END], lambda x: x IS NOT NULL) AS be FROM e)"""
 
 
-@query("v26_validate_bars", f"{_BARERR} SELECT symbol, t AS ts, array_to_string(CASE WHEN len(se) > 0 THEN se ELSE be END, '|') AS errors FROM f", "raw_bars")
+@query("v26_validate_bars", f"{_BARERR} SELECT upper(symbol) AS symbol, t AS ts, array_to_string(CASE WHEN len(se) > 0 THEN se ELSE be END, '|') AS errors FROM f", "raw_bars")
 def _(s, d):
     return P.validate_bars(bar_messages(s, d), now()).select("symbol", (F.col("timestamp") / 1000).cast("long").alias("ts"), F.array_join("errors", "|").alias("errors"))
 
@@ -493,47 +511,72 @@ def _(s, d):
     return V.raw_bars(s, d).select(R.rule_ohlc(*(F.col(c) for c in ("open", "high", "low", "close"))).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query("v8_rule_bar_recency", f"SELECT error, count(*) AS n FROM (SELECT CASE WHEN epoch(bar_ts) < {NOW_S} - 48 * 3600 THEN 'Data is too old' WHEN epoch(bar_ts) > {NOW_S} + 300 THEN 'Timestamp is in the future' END AS error FROM bars) GROUP BY 1", "bars")
+@query("v8_rule_bar_recency", f"SELECT error, count(*) AS n FROM (SELECT CASE WHEN epoch(bar_ts) < {NOW_S} - 48 * 3600 THEN 'Data is too old (older than 48 hours)' WHEN epoch(bar_ts) > {NOW_S} + 300 THEN 'Data timestamp is in the future' END AS error FROM bars) GROUP BY 1", "bars")
 def _(s, d):
     return V.bars(s, d).select(R.rule_bar_recency(F.col("bar_ts").cast("timestamp"), now()).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query("v9_rule_price_band", "SELECT symbol, epoch(bar_ts)::bigint AS ts FROM raw_bars WHERE NOT (close > 0.001 AND close < 10000)", "raw_bars")
+@query("v9_rule_price_band", "SELECT symbol, epoch(bar_ts)::bigint AS ts, 'Price ' || cast(close AS varchar) || ' is outside expected range for most stocks' AS error FROM raw_bars WHERE NOT (close > 0.001 AND close < 10000)", "raw_bars")
 def _(s, d):
-    return V.raw_bars(s, d).where(R.rule_price_band(F.col("close")).isNotNull()).select("symbol", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"))
+    return V.raw_bars(s, d).withColumn("error", R.rule_price_band(F.col("close"))).where("error is not null").select("symbol", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"), "error")
+
+
+_UTC = lambda seconds: f"strftime(make_timestamp(({seconds}) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
+_TIMES = f"""WHEN created_utc > {NOW_S} + 600 THEN 'Business rule error: Creation timestamp ' || {_UTC("created_utc")} || ' is suspiciously far in the future' ELSE '' END AS errors"""
+_AGED = f"""CASE WHEN created_utc + 60 < {NOW_S} - 7 * 86400 THEN 'Collection timestamp ' || {_UTC("created_utc + 60")} || ' is older than 7 days' END"""
+
 
+def collected(rows):
+    return rows.withColumn("collection_timestamp", P.iso(F.timestamp_seconds(F.col("created_utc") + 60)))
 
-@query("v12_check_post", f"SELECT id, CASE WHEN length(title) < 1 THEN 'Schema error: Field ''title'': min_length' WHEN created_utc > {NOW_S} + 600 THEN 'Business rule error: Created in the future' ELSE '' END AS errors, array_to_string(list_filter([CASE WHEN length(title) < 5 THEN 'Short title' END, CASE WHEN id % 2 = 0 AND selftext = '' AND length(title) < 20 THEN 'Self post with little content' END, CASE WHEN created_utc + 60 < {NOW_S} - 7 * 86400 THEN 'Collected more than 7 days ago' END], lambda x: x IS NOT NULL), '|') AS warnings FROM posts", "posts")
+
+@query("v12_check_post", f"SELECT id, CASE WHEN id % 43 = 0 THEN 'Schema error: Invalid or missing ''content_type'': story' WHEN id % 41 = 0 THEN 'Schema error: Field ''collection_timestamp'': iso_utc|Schema error: Field ''score'': missing|Schema error: Field ''url'': missing' WHEN length(title) < 1 THEN 'Schema error: Field ''title'': min_length' WHEN id % 37 = 0 THEN 'Business rule error: Collection timestamp ' || {_UTC('created_utc - 301')} || ' is significantly before creation timestamp ' || {_UTC('created_utc')} {_TIMES}, CASE WHEN id % 43 = 0 OR id % 41 = 0 OR id % 37 = 0 THEN '' ELSE array_to_string(list_filter([CASE WHEN length(title) < 5 THEN 'Post has a very short title.' END, CASE WHEN id % 2 = 0 AND selftext = '' AND length(title) < 20 THEN 'Self-post with no body and short title.' END, {_AGED}], lambda x: x IS NOT NULL), '|') END AS warnings FROM posts", "posts")
 def _(s, d):
-    p = P.post_record(V.posts(s, d)).withColumn("is_self", F.col("id") % 2 == 0).withColumn("collected_utc", F.col("created_utc") + 60).withColumn("body", F.lit(None).cast("string")).withColumn("post_id", F.lit(None).cast("string"))
-    return P.validate_posts(p, now()).select("id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
+    c = F.col("id")
+    p = collected(P.post_record(V.posts(s, d))).withColumn("is_self", c % 2 == 0).withColumn("url", F.when(c % 41 != 0, F.col("permalink"))).withColumn("score", F.when(c % 41 != 0, F.col("score"))).withColumn("content_type", F.when(c % 43 == 0, "story").otherwise("post"))
+    early = P.iso(F.timestamp_seconds(F.col("created_utc") - 301))
+    p = p.withColumn("collection_timestamp", F.when(c % 41 == 0, "2024-01-01 00:00:00").when(c % 37 == 0, early).otherwise(F.col("collection_timestamp")))
+    plain = (c % 43 != 0) & (c % 41 != 0) & (c % 37 != 0)
+    return P.validate_posts(p, now()).select("id", F.array_join("errors", "|").alias("errors"), F.when(plain, F.array_join("warnings", "|")).otherwise("").alias("warnings"))
 
 
-@query("v13_check_comment", f"SELECT id, CASE WHEN length(body) < 1 THEN 'Schema error: Field ''body'': min_length' WHEN created_utc > {NOW_S} + 600 THEN 'Business rule error: Created in the future' ELSE '' END AS errors, array_to_string(list_filter([CASE WHEN length(body) < 3 THEN 'Short comment' END, CASE WHEN created_utc + 60 < {NOW_S} - 7 * 86400 THEN 'Collected more than 7 days ago' END], lambda x: x IS NOT NULL), '|') AS warnings FROM comments", "comments")
+@query("v13_check_comment", f"SELECT id, CASE WHEN id % 41 = 0 THEN 'Schema error: Field ''author'': missing|Schema error: Field ''parent_id'': missing' WHEN length(body) < 1 THEN 'Schema error: Field ''body'': min_length' {_TIMES}, array_to_string(list_filter([CASE WHEN length(body) < 3 THEN 'Comment has a very short body.' END, {_AGED}], lambda x: x IS NOT NULL), '|') AS warnings FROM comments", "comments")
 def _(s, d):
-    none = F.lit(None).cast("string")
-    c = P.comment_record(V.comments(s, d)).withColumn("collected_utc", F.col("created_utc") + 60).withColumns({"title": none, "selftext": none, "is_self": F.lit(False), "upvote_ratio": F.lit(None).cast("double"), "num_comments": F.lit(None).cast("long")})
+    c = collected(P.comment_record(V.comments(s, d))).withColumns({"score": F.lit(1), "subreddit": F.lit("talk"), "permalink": F.lit("/r/talk")})
+    c = c.withColumns({n: F.when(F.col("id") % 41 != 0, F.col(n)) for n in ("author", "parent_id")})
     return P.validate_posts(c, now()).select("id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
 
 
+@query("v14_check_iso_utc", "SELECT id, id % 3 = 0 AS passed FROM posts", "posts")
+def _(s, d):
+    at = F.timestamp_seconds("created_utc")
+    text = F.when(F.col("id") % 3 == 0, P.iso(at)).when(F.col("id") % 3 == 1, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).otherwise("yesterdayZ")
+    return V.posts(s, d).select("id", R.check_iso_utc("t", text).isNull().alias("passed"))
+
+
 @query("v15_created_datetime", "SELECT id, created_utc AS ts FROM posts", "posts")
 def _(s, d):
     return V.posts(s, d).select("id", F.unix_timestamp(R.created_datetime(F.when(F.col("id") % 2 == 0, F.col("created_utc").cast("double") + 0.5), P.iso(F.timestamp_seconds("created_utc")))).alias("ts"))
 
 
-@query("v16_normalise_symbols", f"SELECT doc_id, array_to_string(list_filter(list_slice(string_split_regex(text, '{WORD}'), 1, 40), lambda t: regexp_full_match(t, '[A-Z]{{1,5}}')), ',') AS symbols FROM documents")
+@query("v16_normalise_symbols", f"SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '{WORD}'), lambda t: regexp_full_match(t, '[A-Z]{{1,5}}')), ',') AS symbols FROM documents")
 def _(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet")
-    marked = F.transform(F.slice(F.split("text", WORD), 1, 40), lambda t: F.when(F.length(t) % 2 == 0, F.concat(F.lit("$"), t)).otherwise(t))
+    marked = F.transform(F.split("text", WORD), lambda t: F.when(F.length(t) % 2 == 0, F.concat(F.lit("$"), t)).otherwise(t))
     return docs.select("doc_id", F.coalesce(F.array_join(R.normalise_symbols(marked), ","), F.lit("")).alias("symbols"))
 
 
-_NEWSERR = f"""list_filter([CASE WHEN title = '' THEN 'Missing title' WHEN length(title) < 10 THEN 'Title is too short' WHEN upper(title) = title AND lower(title) <> title THEN 'Title is all upper case' END, CASE WHEN greatest(length(description), length(content)) = 0 THEN 'No content' WHEN greatest(length(description), length(content)) < 50 THEN 'Content is too short' END, CASE WHEN published_utc > {NOW_S} + 3600 THEN 'Published in the future' WHEN published_utc < {NOW_S} - 30 * 86400 THEN 'Published too long ago' END], lambda x: x IS NOT NULL)"""
+_NEWSERR = f"""list_filter([CASE WHEN title = '' THEN 'Missing title' WHEN length(title) < 10 THEN 'Title too short (minimum 10 characters)' WHEN upper(title) = title AND lower(title) <> title THEN 'Title is all uppercase' END, CASE WHEN greatest(length(description), length(content)) = 0 THEN 'Both description and content are missing' WHEN greatest(length(description), length(content)) < 50 THEN 'Content too short (minimum 50 characters)' END, CASE WHEN published_utc > {NOW_S} + 3600 THEN 'Publication date is in the future: ' || strftime(make_timestamp(published_utc * 1000000), '%Y-%m-%dT%H:%M:%SZ') WHEN published_utc < {NOW_S} - 30 * 86400 THEN 'Article too old (> 30 days)' END], lambda x: x IS NOT NULL)"""
 
 
-@query("v23_validate_news", f"SELECT url, CASE WHEN title = '' THEN 'Schema error: Field ''title'': min_length' ELSE array_to_string(list_transform({_NEWSERR}, lambda x: 'Business rule error: ' || x), '|') END AS errors FROM news", "news")
+def dated_news(s, d):
+    """News with what the collector adds; some without a collector."""
+    return V.news(s, d).withColumns({"publishedAt": P.iso(F.timestamp_seconds("published_utc")), "collected_at": F.lit(NOW), "collector_id": F.when(F.col("doc_id") % 47 != 0, "c1")})
+
+
+@query("v23_validate_news", f"SELECT url, CASE WHEN title = '' OR doc_id % 47 = 0 THEN array_to_string(list_filter([CASE WHEN title = '' THEN 'Schema error: Field ''title'': min_length' END, CASE WHEN doc_id % 47 = 0 THEN 'Schema error: Field ''collector_id'': missing' END], lambda x: x IS NOT NULL), '|') ELSE array_to_string(list_transform({_NEWSERR}, lambda x: 'Business rule error: ' || x), '|') END AS errors FROM news", "news")
 def _(s, d):
-    return P.validate_news(V.news(s, d), now()).select("url", F.array_join("errors", "|").alias("errors"))
+    return P.validate_news(dated_news(s, d), now()).select("url", F.array_join("errors", "|").alias("errors"))
 
 
 @query("v22_finalise_news", "SELECT CASE WHEN doc_id % 4 = 0 THEN url ELSE concat('a', doc_id) END AS article_id, '1.0.0' AS validation_version FROM news", "news")
@@ -542,12 +585,12 @@ def _(s, d):
     return P.finalise_news(n, now()).select("article_id", "validation_version")
 
 
-@query("v23_rule_title", "SELECT error, count(*) AS n FROM (SELECT CASE WHEN title = '' THEN 'Missing title' WHEN length(title) < 10 THEN 'Title is too short' WHEN upper(title) = title AND lower(title) <> title THEN 'Title is all upper case' END AS error FROM news) GROUP BY 1", "news")
+@query("v23_rule_title", "SELECT error, count(*) AS n FROM (SELECT CASE WHEN title = '' THEN 'Missing title' WHEN length(title) < 10 THEN 'Title too short (minimum 10 characters)' WHEN upper(title) = title AND lower(title) <> title THEN 'Title is all uppercase' END AS error FROM news) GROUP BY 1", "news")
 def _(s, d):
     return V.news(s, d).select(R.rule_title(F.col("title")).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query("v24_rule_content", "SELECT error, count(*) AS n FROM (SELECT CASE WHEN greatest(length(description), length(content)) < 50 THEN 'Content is too short' END AS error FROM news) GROUP BY 1", "news")
+@query("v24_rule_content", "SELECT error, count(*) AS n FROM (SELECT CASE WHEN greatest(length(description), length(content)) < 50 THEN 'Content too short (minimum 50 characters)' END AS error FROM news) GROUP BY 1", "news")
 def _(s, d):
     return V.news(s, d).select(R.rule_content(F.col("description"), F.col("content")).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
@@ -586,15 +629,23 @@ def _(s, d):
 
 @query("p11_enrich_news", r"SELECT url, strftime(make_timestamp(published_utc * 1000000), '%Y-%m-%d') AS published_date, strftime(make_timestamp(published_utc * 1000000), '%H:%M:%S') AS published_time, length(content) AS length, len(list_filter(string_split_regex(content, '\s+'), lambda x: x <> '')) AS word_count FROM news", "news")
 def _(s, d):
-    return P.enrich_news(V.news(s, d), now(), "c1").select("url", "published_date", "published_time", "content_stats.*")
+    return P.enrich_news(dated_news(s, d), now(), "c1").select("url", "published_date", "published_time", "content_stats.*")
 
 
-@query("p13_envelopes", "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN 'invalid' ELSE 'error' END AS kind FROM documents) GROUP BY 1")
+@query("p13_envelopes", """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{"original_message":{"doc_id":' || doc_id || '},"validation_errors":["e"],"processing_timestamp":"' || '2024-01-31 00:00:00' || '","log_context":{"topic":"raw","offset":' || doc_id || ',"item_id":"UNKNOWN_ID"}}' WHEN 1 THEN '{"article":{"doc_id":' || doc_id || '},"errors":["e"],"timestamp":"2024-01-31 00:00:00"}' ELSE '{"original_message":{"doc_id":' || doc_id || '},"validation_errors":["e"],"processing_timestamp":"2024-01-31 00:00:00"}' END AS value FROM documents""")
 def _(s, d):
-    docs = s.read.parquet(f"{d}/documents.parquet")
-    text = F.when(F.col("doc_id") % 2 == 0, P.invalid_envelope(F.struct("doc_id"), F.array(F.lit("e")), F.lit(NOW))).otherwise(P.error_envelope(F.struct("doc_id"), "parse", F.lit("m"), "svc", F.lit(NOW)))
-    kind = F.when(F.get_json_object(text, "$.validation_errors[0]") == "e", "invalid").when(F.get_json_object(text, "$.error_type") == "parse", "error")
-    return docs.select(kind.alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+    docs, one, errors = s.read.parquet(f"{d}/documents.parquet"), F.struct("doc_id"), F.array(F.lit("e"))
+    context = P.log_context(F.lit("raw"), F.col("doc_id"), F.lit(None).cast("string"))
+    value = F.when(F.col("doc_id") % 3 == 0, P.invalid_envelope(one, errors, F.lit(NOW), context)).when(F.col("doc_id") % 3 == 1, P.invalid_envelope(one, errors, F.lit(NOW), news=True)).otherwise(P.invalid_envelope(one, errors, F.lit(NOW)))
+    return docs.select("doc_id", value.alias("value"))
+
+
+@query("p14_error_envelopes", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '{"original_payload":"' || lang || '","error":"Message value is not a dictionary","context":{"topic":"unknown","offset":-1,"item_id":"' || doc_id || '"}}' ELSE '{"error_type":"parse","error_message":"m","service_name":"svc","error_timestamp":"2024-01-31 00:00:00","original_payload":"' || lang || '","log_context":{"topic":"raw","offset":-1,"item_id":"' || doc_id || '"}}' END AS value FROM documents""")
+def _(s, d):
+    docs, ident, none = s.read.parquet(f"{d}/documents.parquet"), F.col("doc_id").cast("string"), F.lit(None)
+    first = P.not_an_object_envelope(F.col("lang"), F.lit("Message value is not a dictionary"), P.log_context(none.cast("string"), none.cast("long"), ident))
+    second = P.error_envelope(F.col("lang"), "parse", F.lit("m"), "svc", F.lit(NOW), P.log_context(F.lit("raw"), none.cast("long"), ident))
+    return docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, first).otherwise(second).alias("value"))
 
 
 @query("p15_message_key", "SELECT concat('validated_', coalesce(cast(CASE WHEN id % 9 = 0 THEN NULL ELSE id END AS varchar), 'UNKNOWN_ID')) AS key, subreddit AS market_key FROM posts", "posts")
@@ -967,6 +1018,36 @@ def _(s, d):
     return T.union_topics(*(s.read.parquet(f"{base}/{p}").select(F.lit(k).alias("kind")) for p, k in (("posts", "post"), ("strong", "strong")))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+_TAGGED = "replace(coalesce(title,''), ' T', ' $T') || ' ' || replace(coalesce(selftext,''), ' T', ' $T')"
+
+
+@query("m1_sentiment_job", f"WITH {_SCORED.replace('* upvote_ratio', '* cast(cast(upvote_ratio AS float) AS double)')} SELECT 'post' AS store, cast(id AS varchar) AS id, NULL AS ticker, sentiment_label AS label, round(sentiment_score, 6) AS score FROM scored UNION ALL SELECT 'ticker', cast(id AS varchar), unnest(regexp_extract_all({_TAGGED}, '\\$([A-Z]{{1,5}})', 1)), sentiment_label, round(sentiment_score, 6) FROM scored", "posts lexicon")
+def _(s, d):
+    base = scratch(s)
+    posts = V.posts(s, d).withColumn("created_utc", F.col("created_utc").cast("double"))
+    posts = posts.withColumns({c: F.replace(c, F.lit(" T"), F.lit(" $T")) for c in ("title", "selftext")})
+    posts.select(F.to_json(F.struct(*posts.columns)).alias("value")).write.text(f"{base}/in")
+    terms = O.terms_of(V.lexicon(s))
+    score = lambda rows: O.score_posts(rows, terms, negations=V.NEGATIONS, boosters=V.BOOSTERS, text_cfg=PLAIN)
+    kept = lambda rows: rows.select("id", F.col("sentiment_label").alias("label"), r6("sentiment_score").alias("score"), "ticker_sentiments")
+    M.sentiment_job(s.readStream.schema("value string").text(f"{base}/in"), lambda rows: kept(score(rows)), io._write_batch(f"{base}/posts", None), io._write_batch(f"{base}/tickers", None), f"{base}/check").awaitTermination()
+    stored = s.read.parquet(f"{base}/posts").select(F.lit("post").alias("store"), "id", F.lit(None).cast("string").alias("ticker"), "label", "score")
+    return stored.unionByName(s.read.schema("id string, ticker string, sentiment string, score double").parquet(f"{base}/tickers").select(F.lit("ticker").alias("store"), "id", "ticker", F.col("sentiment").alias("label"), "score"))
+
+
+@query("r1_route_stream", f"{_BARERR} SELECT CASE WHEN len(se) > 0 OR len(be) > 0 THEN 'invalid' ELSE 'valid' END AS topic, count(*) AS n FROM f GROUP BY 1 UNION ALL SELECT 'error', count(*) FROM f WHERE t % 7200 = 0", "raw_bars")
+def _(s, d):
+    base = scratch(s)
+    good = bar_messages(s, d).select("value")
+    bad = good.where(F.try_variant_get(F.parse_json("value"), "$.timestamp", "long") % 7200000 == 0).select(F.lit("[1]").alias("value"))
+    good.unionByName(bad).write.text(f"{base}/in")
+    checked = P.validate_bars(P.classify_payload(s.readStream.schema("value string").text(f"{base}/in")), now()).withColumn("is_error", F.col("kind") == "error")
+    topics = ("valid", "invalid", "error")
+    routed = T.route(checked, *topics).select("topic", "value")
+    M.write_routed(routed, {t: io._write_batch(f"{base}/{t}", None) for t in topics}, f"{base}/check").awaitTermination()
+    return T.union_topics(*(s.read.parquet(f"{base}/{t}") for t in topics)).groupBy("topic").agg(F.count("*").alias("n"))
+
+
 @query("m4_validate_bars_stream", f"{_FOLD} SELECT symbol, epoch(bar_ts)::bigint AS ts, round(last_close, 6) AS last_close, accepted FROM fold", "raw_bars")
 def _(s, d):
     base = scratch(s)

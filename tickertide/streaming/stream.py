@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tickertide.operators.records import parse_posts
+from tickertide.operators.sentiment import ticker_rows
+
 
 def start(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None):
     """A query with a stable checkpoint; without an interval it takes what is there and ends."""
@@ -30,6 +33,26 @@ def dual_write(df: DataFrame, first: Callable[[DataFrame, int], None], second: C
     return start(df, both, checkpoint, every)
 
 
+def sentiment_job(raw: DataFrame, score: Callable[[DataFrame], DataFrame], posts: Callable[[DataFrame, int], None], tickers: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None):
+    """The whole job: messages (value) are parsed and scored, and each batch goes to a store of posts and to one of ticker sentiments."""
+    scored = score(parse_posts(raw))
+    return dual_write(scored, posts, lambda batch, i: tickers(ticker_rows(batch), i), checkpoint, every)
+
+
+def write_routed(df: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]], checkpoint: str, every: str | None = None):
+    """A stream with the column topic of route(): each batch is kept once and each sink is given the rows of its topic."""
+
+    def all_of(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            for topic, sink in sinks.items():
+                sink(kept.where(F.col("topic") == topic), batch_id)
+        finally:
+            kept.unpersist()
+
+    return start(df, all_of, checkpoint, every)
+
+
 def await_any(spark: SparkSession, timeout: int | None = None) -> None:
     """Wait for the first query to end, then stop the others."""
     spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
