@@ -1029,10 +1029,10 @@ def _(s, d):
     posts.select(F.to_json(F.struct(*posts.columns)).alias("value")).write.text(f"{base}/in")
     terms = O.terms_of(V.lexicon(s))
     score = lambda rows: O.score_posts(rows, terms, negations=V.NEGATIONS, boosters=V.BOOSTERS, text_cfg=PLAIN)
-    kept = lambda rows: rows.select("id", F.col("sentiment_label").alias("label"), r6("sentiment_score").alias("score"), "ticker_sentiments")
+    kept = lambda rows: rows.select("id", F.col("sentiment_label").alias("label"), F.col("sentiment_score").alias("score"), "ticker_sentiments")
     M.sentiment_job(s.readStream.schema("value string").text(f"{base}/in"), lambda rows: kept(score(rows)), io._write_batch(f"{base}/posts", None), io._write_batch(f"{base}/tickers", None), f"{base}/check").awaitTermination()
-    stored = s.read.parquet(f"{base}/posts").select(F.lit("post").alias("store"), "id", F.lit(None).cast("string").alias("ticker"), "label", "score")
-    return stored.unionByName(s.read.schema("id string, ticker string, sentiment string, score double").parquet(f"{base}/tickers").select(F.lit("ticker").alias("store"), "id", "ticker", F.col("sentiment").alias("label"), "score"))
+    stored = s.read.parquet(f"{base}/posts").select(F.lit("post").alias("store"), "id", F.lit(None).cast("string").alias("ticker"), "label", r6("score").alias("score"))
+    return stored.unionByName(s.read.schema("id string, ticker string, sentiment string, score double").parquet(f"{base}/tickers").select(F.lit("ticker").alias("store"), "id", "ticker", F.col("sentiment").alias("label"), r6("score").alias("score")))
 
 
 @query("r1_route_stream", f"{_BARERR} SELECT CASE WHEN len(se) > 0 OR len(be) > 0 THEN 'invalid' ELSE 'valid' END AS topic, count(*) AS n FROM f GROUP BY 1 UNION ALL SELECT 'error', count(*) FROM f WHERE t % 7200 = 0", "raw_bars")
