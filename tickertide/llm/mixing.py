@@ -14,7 +14,8 @@ Nothing ranks or sums over one source in one task: hot sources are cut by hash b
 (slots), and only counts a bucket or stretch are summed along a window.
 
 Null text has size 0, as has text without words: such rows are never taken. Null sources form one source. Repeated
-rows are rows of their own. An empty table gives an empty table; reruns give the same mix.
+rows are rows of their own, ties in the shuffle go by id and size. Texts may have any length: a document may span many
+blocks. Other columns, whatever their names, are not looked at. An empty table gives an empty table; reruns give the same mix.
 """
 
 from __future__ import annotations
@@ -22,18 +23,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickertide.llm.common import park, word_count
+from tickertide.llm.common import packed, park, word_count
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Words in a block, and the fractional part of the golden ratio.
 BLOCK, GOLDEN = 4096, 0.6180339887498949
 #: Rows in a hash bucket of documents and slots in a stretch, about.
-BUCKET_ROWS, STRETCH = 20_000, 8192
+BUCKET_ROWS, STRETCH = 2000, 8192
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
-    """id, source, size and the place in the shuffle."""
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), id_col).alias("h"))
+    """id, row (hash of id and text), source, size and the place in the shuffle."""
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col).cast("string")).alias("row"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), id_col).alias("h"))
 
 
 def targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -68,7 +69,7 @@ def streams(rows: DataFrame, per_source: DataFrame) -> DataFrame:
     base = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(along), F.lit(0)).alias("base"))
     within = Window.partitionBy("source", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     dealt = dealt.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return dealt.join(base, _same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("b"))).select("id", "source", "size", (F.col("base") + F.col("inner")).alias("start"))
+    return dealt.join(base, _same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("b"))).select("id", "row", "source", "size", (F.col("base") + F.col("inner")).alias("start"))
 
 
 def schedule(per_source: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -105,9 +106,9 @@ def pieces(placed: DataFrame, plan: DataFrame, per_source: DataFrame, block: int
     passes = F.explode(F.sequence(F.lit(0), F.lit(int(-(-most // 1)) - 1)))
     at = placed.join(sizes, _same(F.col("source"), F.col("s"))).withColumn("pass", passes).withColumn("begin", F.col("start") + F.col("pass") * F.col("source_size"))
     end = F.col("begin") + F.col("size")
-    cut = at.select("id", F.col("source").alias("src"), "size", "start", "begin", end.alias("end"), F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((end - 1) / block))).alias("no"))
+    cut = at.select("id", "row", F.col("source").alias("src"), "size", "start", "begin", end.alias("end"), F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((end - 1) / block))).alias("no"))
     lo, hi = F.greatest("begin", "first"), F.least("end", "last")
-    return cut.join(plan, _same(F.col("src"), F.col("source")) & (F.col("no") == F.col("block_no"))).where(hi > lo).select("slot", "id", "source", "size", "start", (lo - F.col("begin")).alias("from_word"), (hi - lo).alias("n_words"))
+    return cut.join(plan, _same(F.col("src"), F.col("source")) & (F.col("no") == F.col("block_no"))).where(hi > lo).select("slot", "id", "row", "source", "size", "start", (lo - F.col("begin")).alias("from_word"), (hi - lo).alias("n_words"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -120,16 +121,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
     """Per row: id, size, source_size, target, taken (its words in the mix, repeats counted)."""
-    rows, per_source, placed, parts = mix(docs, id_col, text_col, source_col, **params)
+    return _taken(*mix(docs, id_col, text_col, source_col, **params)).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def _taken(rows: DataFrame, per_source: DataFrame, placed: DataFrame, parts: DataFrame) -> DataFrame:
     # a row's place in its stream is its own, so equal rows stay apart; rows without words take nothing
-    none = placed.select("id", "source", "size", "start", F.lit(0).cast("long").alias("taken"))
-    totals = none.unionByName(parts.select("id", "source", "size", "start", F.col("n_words").alias("taken"))).groupBy("id", "source", "size", "start").agg(F.sum("taken").alias("taken")).drop("start")
-    empty = rows.where("size = 0").select("id", "source", "size", F.lit(0).cast("long").alias("taken"))
+    keys = ("id", "row", "source", "size", "start")
+    none = placed.select(*keys, F.lit(0).cast("long").alias("taken"))
+    totals = none.unionByName(parts.select(*keys, F.col("n_words").alias("taken"))).groupBy(*keys).agg(F.sum("taken").alias("taken")).drop("start")
+    empty = rows.where("size = 0").select(*keys[:4], F.lit(0).cast("long").alias("taken"))
     per = per_source.select(F.col("source").alias("s"), "source_size", "target")
-    return totals.unionByName(empty).join(per, _same(F.col("source"), F.col("s"))).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+    return totals.unionByName(empty).join(per, _same(F.col("source"), F.col("s"))).select("id", "row", "size", "source_size", "target", "taken")
 
 
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
-    """docs as the mix takes them: each row as many times as its words are taken, rounded. Rows without an id are never taken."""
-    copies = taken(docs, id_col, text_col, source_col, **params).where("size > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_n")).where("_n > 0")
-    return docs.join(copies, docs[id_col] == copies["_id"]).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    """docs as the mix takes them: each row as many times as its words are taken, rounded; rows equal in id and text alike
+    as often as the one taken most. Rows without an id take part; columns may have any names."""
+    done = _taken(*mix(docs, id_col, text_col, source_col, **params)).where("size > 0")
+    copies = done.groupBy("row").agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("n")).where("n > 0")
+    rows = packed(docs).withColumn("own", F.xxhash64(F.col("packed")[id_col], F.col("packed")[text_col].cast("string")))
+    return rows.join(copies, F.col("own") == F.col("row")).select("packed", F.explode(F.sequence(F.lit(1), F.col("n")))).select("packed.*")

@@ -7,8 +7,9 @@ the radius in sum: other pairs of tiles are never formed. Tiles of the remaining
 exclusive-or and bit counts, and each pair of tiles gives a spanning forest of its links, so that thousands of
 copies never turn into all their pairs. Links lose nothing: components over the forests are those over all links.
 
-Null text counts as empty; a text without words has fingerprint 0 and links like any other. Repeated rows keep their
-rows; a null id never becomes a component's id unless no other is there. An empty table gives an empty table.
+Null text counts as empty; a text without words has fingerprint 0 and links like any other. Texts may have any length:
+one is held at a time. Repeated rows keep their rows, ties go to the smaller id; a null id never becomes a component's
+id unless no other is there. Other columns, whatever their names, are not looked at. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tickertide.llm.common import park
+from tickertide.llm.common import packed, park, unpark
 from tickertide.llm.graph import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
@@ -168,16 +169,25 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     leaders = park(dealt.groupBy("key").agg(F.min(F.struct("whole", "size")).alias("l"), F.count("*").alias("n")).where("n > 1").select("key", F.col("l.whole").alias("b"), F.col("l.size").alias("size_b")), "leaders")
     stars = dealt.join(leaders, "key").where((F.col("whole") != F.col("b")) & fits).select(F.col("whole").alias("a"), "b").distinct()
     first = park(_alike(stars, sets, similarity), "stars")
-    grouped = park(dealt.join(leaders.select("key"), "key").join(components(first), F.col("whole") == F.col("node"), "left").select("key", "whole", "size", F.coalesce("root", "whole").alias("root")), "grouped")
-    other = grouped.select("key", F.col("whole").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    rest = grouped.join(other, "key").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits).select(F.col("whole").alias("a"), "b").distinct()
-    roots = components(first.unionByName(park(_alike(rest, sets, similarity), "rest")))
-    group = distinct.join(roots, F.col("whole") == F.col("node"), "left").select("whole", "least", F.coalesce("root", "whole").alias("root"))
-    least = group.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select(id_col, "whole").join(group.join(least, "root").select("whole", "component_id"), "whole").select(id_col, "component_id")
+    roots = components(first)
+    lead = leaders.join(roots, F.col("b") == F.col("node"), "left").select("key", F.coalesce("root", "b").alias("lead"))
+    grouped = dealt.join(roots, F.col("whole") == F.col("node"), "left").select("key", "whole", "size", F.coalesce("root", "whole").alias("root"))
+    grouped = park(grouped.join(lead, "key").withColumn("out", F.col("root") != F.col("lead")), "grouped")
+    # only what stands outside the least one's group is held against the others, each pair once
+    other = grouped.select("key", F.col("whole").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"), F.col("out").alias("out_b"))
+    rest = grouped.where("out").join(other, "key").where((~F.col("out_b") | (F.col("whole") < F.col("b"))) & (F.col("root") != F.col("root_b")) & fits).select(F.col("whole").alias("a"), "b").distinct()
+    rest = park(_alike(rest, sets, similarity), "rest")
+    roots = components(first.unionByName(rest))
+    group = park(distinct.join(roots, F.col("whole") == F.col("node"), "left").select("whole", "least", F.coalesce("root", "whole").alias("root")), "group")
+    least = park(group.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    out = park(rows.select(id_col, "whole").join(group.join(least, "root").select("whole", "component_id"), "whole").select(id_col, "component_id"), "similar")
+    unpark(docs.sparkSession, rows, distinct, leaders, first, grouped, rest, group, least)
+    return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """docs with one document of each component of similar(), that of the least id. Rows without an id stay."""
-    kept = similar(docs.where(F.col(id_col).isNotNull()), id_col, text_col, n, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col] == kept["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(id_col).isNull()).select(*docs.columns)
+    """docs with one document of each component of similar(), that of the least id. Rows without an id stay, and so do all
+    rows that share the kept id; columns may have any names."""
+    kept = similar(docs.select(id_col, text_col).where(F.col(id_col).isNotNull()), id_col, text_col, n, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept")).distinct()
+    own = F.col("packed")[id_col]
+    return packed(docs).join(kept, own == F.col("kept"), "left").where(F.col("kept").isNotNull() | own.isNull()).select("packed.*")
