@@ -78,6 +78,12 @@ def count_of(c: Column, pattern: str) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(pattern)), F.lit(0))
 
 
+def drop_special(c: Column, numbers: bool = False) -> Column:
+    """Without anything but letters, marks, digits, the underscore and white space; without digits as well if numbers go."""
+    c = F.regexp_replace(c, r"[^\p{L}\p{M}\p{N}_\s]", "")
+    return F.regexp_replace(c, r"\p{N}+", "") if numbers else c
+
+
 def drop_words(c: Column, stop: list[str]) -> Column:
     return F.filter(words(F.lower(c)), lambda w: ~w.isin(stop))
 

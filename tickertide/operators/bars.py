@@ -150,6 +150,15 @@ def gaps(bars: DataFrame, seconds: int = 3600) -> DataFrame:
     return rows.where(step > seconds).withColumn("missing", F.expr(f"(unix_timestamp(cast(gap_to as timestamp)) - unix_timestamp(cast(gap_from as timestamp))) div {seconds} - 1"))
 
 
+def filled_calendar(bars: DataFrame, seconds: int = 3600) -> DataFrame:
+    """bars with a row for each absent bar between two present ones; its other columns are null and absent is true."""
+    before = F.lag("bar_ts").over(by_symbol())
+    step = F.expr(f"INTERVAL {seconds} SECONDS")
+    missing = bars.select("symbol", before.alias("a"), F.col("bar_ts").alias("b")).where(F.col("b") > F.col("a") + step)
+    rows = missing.select("symbol", F.explode(F.sequence(F.col("a") + step, F.col("b"), step)).alias("bar_ts"), "b").where("bar_ts < b").drop("b")
+    return bars.withColumn("absent", F.lit(False)).unionByName(rows.withColumn("absent", F.lit(True)), allowMissingColumns=True)
+
+
 def regime(bars: DataFrame, n: int = 20, history: int = 100) -> DataFrame:
     """high where volatility exceeds its median over the rows before."""
     rows = volatility(bars, n)

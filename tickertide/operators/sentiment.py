@@ -12,15 +12,6 @@ from tickertide.config import SentimentConfig, TextConfig
 from tickertide.functions import sentiment as S
 from tickertide.functions import text as X
 
-#: Reference tables of up to this many rows are sent to all executors; larger ones are joined by shuffle.
-SMALL = 100_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    """df marked for broadcast if it has few rows; the count stops one row past the bound."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def tokens(df: DataFrame, id_col: str, text: Column, look_back: int = 3) -> DataFrame:
     """id, pos, token, before (up to look_back tokens before it); texts without tokens give no rows."""
     words = df.select(id_col, X.words(F.lower(text)).alias("ws"))

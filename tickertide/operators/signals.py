@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tickertide.config import SentimentConfig
 from tickertide.functions.text import EMOJI, count_of, words
-from tickertide.operators.sentiment import small
 from tickertide.operators.tables import first_n_per_group, top
 
 _CFG = SentimentConfig()
@@ -16,14 +15,14 @@ _CFG = SentimentConfig()
 def term_share(df: DataFrame, terms: DataFrame, id_col: str, text: Column) -> DataFrame:
     """relevance: matched words over all words, times 10, at most 1; texts without words have 0."""
     exploded = df.select(id_col, F.explode_outer(words(F.lower(text))).alias("term"))
-    known = small(terms.select("term").distinct().withColumn("_hit", F.lit(1)))
+    known = terms.select("term").distinct().withColumn("_hit", F.lit(1))
     return exploded.join(known, "term", "left").groupBy(id_col).agg(F.least(F.lit(1.0), 10.0 * F.count("_hit") / F.greatest(F.count("term"), F.lit(1))).alias("relevance"))
 
 
 def calibrate(df: DataFrame, calibration: DataFrame, score: str = "sentiment_score") -> DataFrame:
     """score * scale + bias of the row's community, clamped to -1 .. 1; others stay as they are."""
     value = F.col(score) * F.coalesce("scale", F.lit(1.0)) + F.coalesce("bias", F.lit(0.0))
-    return df.join(small(calibration), "subreddit", "left").withColumn("calibrated", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))).drop("scale", "bias")
+    return df.join(calibration, "subreddit", "left").withColumn("calibrated", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))).drop("scale", "bias")
 
 
 def quality_score(text: Column) -> Column:
@@ -37,7 +36,7 @@ def meme_adjust(compound: Column, meme_compound: Column, has_meme: Column, w: fl
 
 
 def exclude_common_words(mentions: DataFrame, common: DataFrame) -> DataFrame:
-    return mentions.join(small(common.select(F.col("term").alias("ticker")).distinct()), "ticker", "left_anti")
+    return mentions.join(common.select(F.col("term").alias("ticker")).distinct(), "ticker", "left_anti")
 
 
 def decayed_sentiment(rows: DataFrame, now: Column, cfg: SentimentConfig = _CFG, key: str = "ticker") -> DataFrame:
@@ -113,6 +112,12 @@ def recent_ticker_sentiment(rows: DataFrame, n: int) -> DataFrame:
     return first_n_per_group(rows, ["ticker"], [F.desc("ts"), "id"], n)
 
 
+def sentiment_by(scored: DataFrame, key: str, period: str, ts: str = "created_utc") -> DataFrame:
+    """scored (key, ts in epoch seconds, sentiment_score) -> mean, deviation and count by key and period (hour, day, week, month)."""
+    start = F.date_trunc(period, F.timestamp_seconds(ts))
+    return scored.groupBy(key, start.alias("start")).agg(F.avg("sentiment_score").alias("mean_sentiment"), F.stddev_pop("sentiment_score").alias("deviation"), F.count("*").alias("n"))
+
+
 def strong_signals(rows: DataFrame, score: float = 0.4, confidence: float = 0.8) -> DataFrame:
     return rows.where((F.abs("score") >= score) & (F.col("confidence") >= confidence))
 

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from tickertide.operators.sentiment import small
-
 
 def rank_within(keys: list[str], *order) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -30,7 +28,7 @@ def created_date(df: DataFrame, column: str = "created_utc") -> Column:
 
 def valid_tickers_join(mentions: DataFrame, tickers: DataFrame) -> DataFrame:
     """mentions (…, ticker) whose ticker is known; repeats stay."""
-    return mentions.join(small(tickers.select("ticker").distinct()), "ticker", "left_semi")
+    return mentions.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
 
 
 def unseen(df: DataFrame, processed: DataFrame, key: str = "url") -> DataFrame:
@@ -51,7 +49,7 @@ def watchlist_mentions(df: DataFrame, symbols: DataFrame, id_col: str, text: Col
     from tickertide.functions.text import words
 
     hits = df.select(id_col, F.explode(F.array_distinct(words(F.upper(text)))).alias("_token"))
-    return hits.join(small(symbols.select(F.col("symbol"), F.upper("symbol").alias("_token")).distinct()), "_token").select(id_col, "symbol").distinct()
+    return hits.join(symbols.select(F.col("symbol"), F.upper("symbol").alias("_token")).distinct(), "_token").select(id_col, "symbol").distinct()
 
 
 def posts_for_symbol(posts: DataFrame, symbol: str, column: str = "symbols") -> DataFrame:
@@ -168,8 +166,26 @@ def date_filter(posts: DataFrame, start: str, end: str, column: str = "created_u
     return posts.where((day >= F.lit(start).cast("timestamp")) & (day < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")))
 
 
-def bar_range(bars: DataFrame, symbols: list[str], start: str, end: str, limit: int, descending: bool = False) -> DataFrame:
+#: Seconds of the periods that listings and bar spans are named by.
+PERIODS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
+
+
+def search_symbol_posts(posts: DataFrame, seen: DataFrame, n: int, now: Column, period: str = "all") -> DataFrame:
+    """posts (id, symbols, score, created_utc) not yet seen, of the last period: the n best of each symbol."""
+    rows = unseen(posts, seen, "id")
+    if period != "all":
+        rows = rows.where(F.col("created_utc").between(now.cast("long") - PERIODS[period], now.cast("long")))
+    return first_n_per_group(rows.withColumn("symbol", F.explode(F.array_distinct("symbols"))), ["symbol"], [F.desc("score"), "id"], n)
+
+
+def bar_range(bars: DataFrame, symbols: list[str], start: str, end: str, limit: int, descending: bool = False, multiplier: int = 1, timespan: str | None = None) -> DataFrame:
+    """Bars of the symbols from start on and before end, first or last `limit` of each; with a timespan as bars of multiplier timespans, counted from the epoch."""
     rows = bars.where(F.col("symbol").isin(symbols) & (F.col("bar_ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("bar_ts") < F.lit(end).cast("timestamp_ntz")))
+    if timespan:
+        size = multiplier * PERIODS[timespan]
+        at = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("bar_ts").cast("timestamp")) / size) * size).cast("timestamp_ntz")
+        order = F.col("bar_ts")
+        rows = rows.groupBy("symbol", at.alias("at")).agg(F.min_by("open", order).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", order).alias("close"), F.sum("volume").alias("volume")).withColumnRenamed("at", "bar_ts")
     return first_n_per_group(rows, ["symbol"], [F.desc("bar_ts") if descending else F.asc("bar_ts")], limit)
 
 
@@ -183,6 +199,12 @@ def news_query(news: DataFrame, q: str | None, start: int, end: int, languages:
     return rows.orderBy(F.desc("published_utc"), "url").limit(page_size)
 
 
+def news_queries(news: DataFrame, queries: list[dict], now: int, days: int = 7) -> DataFrame:
+    """Several queries (arguments of news_query) at once, each article once. Without a start, a query looks at the last `days` days."""
+    found = [news_query(news, **{"q": None, "start": now - days * 86400, "end": now} | q) for q in queries]
+    return union_topics(*found).dropDuplicates(["url"])
+
+
 def with_last_valid(bars: DataFrame, max_percent: float = 20.0) -> DataFrame:
     """bars (symbol, bar_ts, close, ok) -> the same with last_close (of the last accepted bar before) and accepted.
 

@@ -414,11 +414,21 @@ def _(s, d):
     return T.first_comments(V.comments(s, d), 2).select("id", "post_id")
 
 
-@query("l4_search_symbol_posts", f"WITH syms AS ({_SYMS}) SELECT symbol, id FROM (SELECT symbol, id, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, id) AS k FROM (SELECT unnest(symbols) AS symbol, id, score FROM syms WHERE id % 5 <> 0)) WHERE k <= 5", "posts")
+@query("l4_search_symbol_posts", f"WITH syms AS ({_SYMS}) SELECT symbol, id FROM (SELECT symbol, id, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, id) AS k FROM (SELECT unnest(symbols) AS symbol, id, score FROM syms WHERE id % 5 <> 0 AND created_utc BETWEEN {NOW_S - 7 * 86400} AND {NOW_S})) WHERE k <= 5", "posts")
 def _(s, d):
     p = posts_with_symbols(s, d)
-    fresh = T.unseen(p, p.where("id % 5 = 0"), "id")
-    return T.first_n_per_group(fresh.select(F.explode("symbols").alias("symbol"), "id", "score"), ["symbol"], [F.desc("score"), "id"], 5).select("symbol", "id")
+    return T.search_symbol_posts(p, p.where("id % 5 = 0"), 5, now(), "week").select("symbol", "id")
+
+
+@query("l5_bar_range_spans", "SELECT symbol, ts, open, high, low, close, volume FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS k FROM (SELECT symbol, epoch(bar_ts)::bigint // 14400 * 14400 AS ts, arg_min(open, bar_ts) AS open, max(high) AS high, min(low) AS low, arg_max(close, bar_ts) AS close, cast(sum(volume) AS bigint) AS volume FROM bars WHERE symbol IN ('view', 'click') AND bar_ts >= TIMESTAMP '2024-01-02' GROUP BY 1, 2)) WHERE k <= 50", "bars")
+def _(s, d):
+    rows = T.bar_range(V.bars(s, d), ["view", "click"], "2024-01-02", "2100-01-01", 50, multiplier=4, timespan="hour")
+    return rows.select("symbol", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"), "open", "high", "low", "close", "volume")
+
+
+@query("l6_news_queries", f"SELECT DISTINCT url FROM news WHERE (published_utc BETWEEN {NOW_S - 7 * 86400} AND {NOW_S} AND contains(lower(concat_ws(' ', title, description, content)), 'the')) OR (published_utc BETWEEN {NOW_S - 86400} AND {NOW_S} AND lang IN ('de'))", "news")
+def _(s, d):
+    return T.news_queries(V.news(s, d), [{"q": "the", "page_size": 1000}, {"languages": ["de"], "start": NOW_S - 86400, "page_size": 1000}], NOW_S).select("url")
 
 
 @query("l5_bar_range", "SELECT symbol, epoch(bar_ts)::bigint AS ts FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts DESC) AS k FROM bars WHERE symbol IN ('view', 'click') AND bar_ts >= TIMESTAMP '2024-01-02' AND bar_ts < TIMESTAMP '2024-01-20') WHERE k <= 20", "bars")
@@ -733,6 +743,11 @@ def _(s, d):
     return B.spikes(V.bars(s, d), 20).where("spike").select("symbol", _ts().alias("ts"))
 
 
+@query("d10_filled_calendar", "SELECT symbol, count(*) AS n, cast(sum(m) AS bigint) AS absent FROM (SELECT symbol, 0 AS m FROM bars UNION ALL SELECT symbol, 1 FROM (SELECT symbol, unnest(range(1, (epoch(bar_ts) - epoch(a))::bigint // 3600)) FROM (SELECT symbol, bar_ts, lag(bar_ts) OVER (PARTITION BY symbol ORDER BY bar_ts) AS a FROM bars) WHERE epoch(bar_ts) - epoch(a) > 3600)) GROUP BY 1", "bars")
+def _(s, d):
+    return B.filled_calendar(V.bars(s, d)).groupBy("symbol").agg(F.count("*").alias("n"), F.count_if("absent").alias("absent"))
+
+
 @query("d10_gaps", "SELECT symbol, epoch(a)::bigint AS gap_from, epoch(bar_ts)::bigint AS gap_to, (epoch(bar_ts) - epoch(a))::bigint // 3600 - 1 AS missing FROM (SELECT symbol, bar_ts, lag(bar_ts) OVER (PARTITION BY symbol ORDER BY bar_ts) AS a FROM bars) WHERE epoch(bar_ts) - epoch(a) > 3600", "bars")
 def _(s, d):
     g = B.gaps(V.bars(s, d))
@@ -871,6 +886,12 @@ def _(s, d):
     return G.recent_ticker_sentiment(ticker_facts(s, d), 5).select("ticker", "id")
 
 
+@query("d32_sentiment_by", f"WITH {_SCORED} SELECT subreddit, epoch(date_trunc('week', make_timestamp(created_utc * 1000000)))::bigint AS start, round(avg(sentiment_score), 6) AS mean_sentiment, round(stddev_pop(sentiment_score), 6) AS deviation, count(*) AS n FROM scored GROUP BY 1, 2", "posts lexicon")
+def _(s, d):
+    r = G.sentiment_by(scored(s, d), "subreddit", "week")
+    return r.select("subreddit", F.unix_timestamp("start").alias("start"), r6("mean_sentiment").alias("mean_sentiment"), r6("deviation").alias("deviation"), "n")
+
+
 @query("d32_strong_signals", f"WITH {_FACTS} SELECT ticker, id FROM facts WHERE abs(score) >= 0.4 AND confidence >= 0.8", "posts lexicon")
 def _(s, d):
     return G.strong_signals(ticker_facts(s, d)).select("ticker", "id")
@@ -971,12 +992,25 @@ def _(s, d):
 # sources, sinks and streams, through files in the shared folder
 
 
+@query("d16_drop_special", r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '[^\p{L}\p{M}\p{N}_\s\x0B]', '', 'g'), '\p{N}+', '', 'g')) AS h FROM documents")
+def _(s, d):
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.md5(X.drop_special(F.col("text"), numbers=True)).alias("h"))
+
+
+@query("x_stamp_and_names", "SELECT symbol AS name, epoch(bar_ts)::bigint AS ts, true AS stamped FROM raw_bars", "raw_bars")
+def _(s, d):
+    rows = P.normalise_symbol_column(V.raw_bars(s, d).withColumnRenamed("symbol", "Name"))
+    rows = P.stamp_processing_time(rows)
+    return rows.select("name", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"), F.col("processing_timestamp").isNotNull().alias("stamped"))
+
+
 @query("s2_read_jsonl", "SELECT count(*) AS n FROM documents WHERE doc_id % 4 = 3")
 def _(s, d):
     path = f"{scratch(s)}/lines"
     docs = s.read.parquet(f"{d}/documents.parquet")
     docs.select(F.when(F.col("doc_id") % 4 == 0, "").when(F.col("doc_id") % 4 == 1, "{bad").when(F.col("doc_id") % 4 == 2, "[1]").otherwise(F.to_json(F.struct("doc_id", "lang"))).alias("value")).write.text(path)
-    return io.read_jsonl(s, path).agg(F.count("*").alias("n"))
+    lines, _ = io.count_lines(io.read_jsonl(s, path))
+    return lines.agg(F.count("*").alias("n"))
 
 
 @query("s3_read_reference_set", "SELECT DISTINCT source AS value FROM documents")

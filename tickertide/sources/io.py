@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,12 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.startswith(F.schema_of_variant("payload"), F.lit("OBJECT")))
 
 
+def count_lines(lines: DataFrame) -> tuple[DataFrame, Observation]:
+    """lines of read_jsonl, and what they count once they have been read: no pass of its own."""
+    seen = Observation()
+    return lines.observe(seen, F.count("*").alias("lines")), seen
+
+
 def read_reference_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """Distinct stripped lines, without blank ones; nothing at the path means an empty set."""
     from pyspark.errors import AnalysisException
