@@ -17,9 +17,11 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset and all runs on one machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="tickertide-"))
         path = _own[0]
@@ -44,7 +46,7 @@ def unpark(spark: SparkSession, *tables: DataFrame) -> None:
 
 
 #: Rows of a parked table up to which it is sent to all executors; beyond, it is joined by shuffle.
-FEW = 500_000
+FEW = 1_000_000
 
 
 def few(parked: DataFrame, most: int = FEW) -> DataFrame:
@@ -52,9 +54,10 @@ def few(parked: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(parked) if parked.count() <= most else parked
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """df's rows as one column `packed`, so that none of its names can clash with ours."""
-    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("packed"))
+def packed(df: DataFrame, text_col: str | None = None) -> DataFrame:
+    """df's rows as one column `packed`, so that none of its names can clash with ours; a text column stands beside it, as `text`."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text_col)).alias("packed")
+    return df.select(rest) if text_col is None else df.select(rest, F.col(f"`{text_col}`").alias("text"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

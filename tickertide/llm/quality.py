@@ -133,7 +133,8 @@ def judge(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     known = labels.where(f"`{label_col}` in (0, 1)").groupBy(F.col(id_col).alias("known_id")).agg(F.min(label_col).cast("int").alias("label"))
     marked = stats.withColumn("base_failed", failed).join(known, F.col(id_col) == F.col("known_id"), "inner").where("not base_failed")
-    chosen = marked.orderBy(F.xxhash64("known_id"), "known_id", *COUNTS).limit(sample).select(*COUNTS).toPandas()
+    # written first: a limit that is collected would bring so many rows of each partition to the driver
+    chosen = park(marked.orderBy(F.xxhash64("known_id"), "known_id", *COUNTS).limit(sample).select(*COUNTS), "sample").toPandas()
     if len(chosen) < 2:
         return stats.withColumn("base_failed", failed).withColumn("score", F.lit(0.0)).withColumn("kept", ~failed)
     shared = spark.sparkContext.broadcast(Forest(ratios({c: chosen[c].to_numpy() for c in COUNTS})))  # TREES x 2 ROWS nodes at most

@@ -64,7 +64,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = chat.format_chats(table(spark, sf_dir, "conversations"))
+    chats = table(spark, sf_dir, "conversations")
+    turns = chat.format_chats(chats, known=chats.where(~is_held_out(F.col("conv_id"))))
     return turns.select("conv_id", "turn", "role", F.col("found").alias("role_found"), F.length("rendered").cast("long").alias("n_rendered"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
