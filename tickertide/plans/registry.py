@@ -53,7 +53,11 @@ def r6(c):
 
 def scratch(spark: SparkSession) -> str:
     """A folder all executors share, for queries that write and read back."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickertide-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="tickertide-")
     return f"{root}/{uuid.uuid4().hex}"
 
 
