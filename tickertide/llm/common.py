@@ -28,11 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Spark's setting to delete a query's shuffle files when it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def park(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
+    """Write df once to the shared folder and read it back: lineage is cut and a lost executor loses nothing.
+
+    What is written needs its shuffle files no more, so they go at once and not when the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
