@@ -178,9 +178,24 @@ def finalise_news(valid: DataFrame, now: Column) -> DataFrame:
     return valid.withColumn("article_id", R.article_id(given, F.col("url"))).withColumn("validated_at", now).withColumn("validation_version", F.lit("1.0.0"))
 
 
+#: The news store's fields and their types (fixed values); a dot leads into a struct.
+NEWS_STORE = {
+    "article_id": "string", "source_id": "string", "source_name": "string", "author": "string", "title": "string", "description": "string", "url": "string", "image_url": "string", "published_at": "timestamp", "content": "string",
+    "symbols": "array<string>", "categories": "array<string>", "relevance_score": "double", "collection_timestamp": "timestamp", "processed": "boolean", "sentiment.score": "double", "sentiment.magnitude": "double", "sentiment.label": "string", "sentiment.processed_at": "timestamp",
+}
+NEWS_STORE_REQUIRED = ("article_id", "source_name", "title", "url", "published_at", "collection_timestamp")
+NEWS_LABELS = ("positive", "negative", "neutral", "mixed")
+
+
 def check_news_documents(docs: DataFrame) -> DataFrame:
-    """The store's own check: required fields, score in 0 .. 1, label one of three."""
-    c = F.col
-    schema = [R.field_error(n, c(n).isNull(), "required") for n in ("article_id", "title", "url", "published_at", "collection_timestamp")]
-    schema += [R.field_error("relevance_score", ~F.coalesce(c("relevance_score").between(0, 1), F.lit(True)), "range"), R.field_error("sentiment.label", ~F.coalesce(c("sentiment")["label"].isin("positive", "neutral", "negative"), F.lit(True)), "enum")]
+    """The store's own check: required fields, types, a score in 0 .. 1, a label of NEWS_LABELS. Fields that docs do not have are absent."""
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    found = {n: kinds[n] for n in kinds} | {f"sentiment.{f.name}": f.dataType for f in getattr(kinds.get("sentiment"), "fields", [])}
+    value = lambda n: F.col(n) if n in found else F.lit(None)
+    schema = [R.field_error(n, value(n).isNull(), "required") for n in NEWS_STORE_REQUIRED]
+    schema += [R.field_error(n, F.col(n).isNotNull(), "type") for n, kind in NEWS_STORE.items() if n in found and found[n].simpleString() != kind]
+    if "relevance_score" in found:
+        schema.append(R.field_error("relevance_score", ~F.coalesce(F.col("relevance_score").between(0, 1), F.lit(True)), "range"))
+    if "sentiment.label" in found:
+        schema.append(R.field_error("sentiment.label", ~F.coalesce(F.col("sentiment.label").isin(*NEWS_LABELS), F.lit(True)), "enum"))
     return docs.withColumn("errors", R.all_errors(schema, []))

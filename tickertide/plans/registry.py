@@ -860,9 +860,9 @@ def _(s, d):
     return G.news_timeseries(rows).select("symbol", F.unix_timestamp("start").alias("start"), r6("sentiment_score").alias("sentiment_score"), r6("sentiment_magnitude").alias("sentiment_magnitude"), "article_count", F.array_join("sources", ",").alias("sources"), F.array_join(F.col("article_ids").cast("array<string>"), ",").alias("article_ids"))
 
 
-@query("d28_news_document_check", "SELECT url, array_to_string(list_filter([CASE WHEN doc_id % 11 = 0 THEN 'Schema error: Field ''article_id'': required' END, CASE WHEN doc_id % 7 = 0 THEN 'Schema error: Field ''relevance_score'': range' END, CASE WHEN doc_id % 5 = 0 THEN 'Schema error: Field ''sentiment.label'': enum' END], lambda x: x IS NOT NULL), '|') AS errors FROM news", "news")
+@query("d28_news_document_check", "SELECT url, array_to_string(list_filter([CASE WHEN doc_id % 11 = 0 THEN 'Schema error: Field ''article_id'': required' END, CASE WHEN doc_id % 13 = 0 THEN 'Schema error: Field ''source_name'': required' END, 'Schema error: Field ''sentiment.magnitude'': type', CASE WHEN doc_id % 7 = 0 THEN 'Schema error: Field ''relevance_score'': range' END, CASE WHEN doc_id % 5 = 0 THEN 'Schema error: Field ''sentiment.label'': enum' END], lambda x: x IS NOT NULL), '|') AS errors FROM news", "news")
 def _(s, d):
-    docs = V.news(s, d).select("url", "title", F.when(F.col("doc_id") % 11 != 0, F.col("url")).alias("article_id"), F.col("published_utc").alias("published_at"), F.lit(NOW).alias("collection_timestamp"), F.when(F.col("doc_id") % 7 == 0, 1.5).otherwise(0.5).alias("relevance_score"), F.struct(F.when(F.col("doc_id") % 5 == 0, "odd").otherwise("neutral").alias("label")).alias("sentiment"))
+    docs = V.news(s, d).select("url", "title", F.when(F.col("doc_id") % 11 != 0, F.col("url")).alias("article_id"), F.timestamp_seconds("published_utc").alias("published_at"), now().alias("collection_timestamp"), F.when(F.col("doc_id") % 13 != 0, F.col("source")).alias("source_name"), F.when(F.col("doc_id") % 7 == 0, 1.5).otherwise(0.5).alias("relevance_score"), F.struct(F.when(F.col("doc_id") % 5 == 0, "odd").otherwise("mixed").alias("label"), F.lit("strong").alias("magnitude")).alias("sentiment"))
     return P.check_news_documents(docs).select("url", F.array_join("errors", "|").alias("errors"))
 
 
