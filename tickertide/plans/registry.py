@@ -202,7 +202,7 @@ _CLEANED = r"""SELECT * REPLACE (regexp_replace(regexp_replace(regexp_replace(ti
 _DEEP = "CASE WHEN id % 5 = 0 THEN NULL WHEN b > 0.7 THEN 0.75 WHEN b > 0.5 THEN 0.25 WHEN a > 0.7 THEN -0.75 WHEN a > 0.5 THEN -0.25 ELSE 0.0 END"
 
 
-@query("t9_whole_chain", f"WITH raw AS (SELECT * FROM posts), cleaned AS ({_CLEANED}), {lex_sql('lexicon').replace('FROM posts', 'FROM cleaned')}, p AS (SELECT id, (id % 11) / 10.0::double AS a, (1 - (id % 11) / 10.0::double) * (id % 7) / 6.0::double AS b FROM posts), deep AS (SELECT id, cast({_DEEP} AS double) AS deep FROM p) SELECT id, round(CASE WHEN deep IS NULL THEN compound ELSE 0.3 * compound + 0.7 * deep END * least(1.0, 0.5 + score / 1000.0::double) * upvote_ratio, 6) AS sentiment_score FROM posts JOIN lex USING (id) JOIN deep USING (id)", "posts lexicon")
+@query("t9_whole_chain", f"WITH raw AS (SELECT * FROM posts), cleaned AS ({_CLEANED}), {lex_sql('lexicon').replace('FROM posts', 'FROM cleaned AS posts')}, p AS (SELECT id, (id % 11) / 10.0::double AS a, (1 - (id % 11) / 10.0::double) * (id % 7) / 6.0::double AS b FROM posts), deep AS (SELECT id, cast({_DEEP} AS double) AS deep FROM p) SELECT id, round(CASE WHEN deep IS NULL THEN compound ELSE 0.3 * compound + 0.7 * deep END * least(1.0, 0.5 + score / 1000.0::double) * upvote_ratio, 6) AS sentiment_score FROM posts JOIN lex USING (id) JOIN deep USING (id)", "posts lexicon")
 def _(s, d):
     posts = V.posts(s, d)
     a = (F.col("id") % 11) / F.lit(10.0)
@@ -1013,8 +1013,7 @@ def _(s, d):
     path = f"{scratch(s)}/lines"
     docs = s.read.parquet(f"{d}/documents.parquet")
     docs.select(F.when(F.col("doc_id") % 4 == 0, "").when(F.col("doc_id") % 4 == 1, "{bad").when(F.col("doc_id") % 4 == 2, "[1]").otherwise(F.to_json(F.struct("doc_id", "lang"))).alias("value")).write.text(path)
-    lines, _ = io.count_lines(io.read_jsonl(s, path))
-    return lines.agg(F.count("*").alias("n"))
+    return io.read_jsonl(s, path).agg(F.count("*").alias("n"))
 
 
 @query("s3_read_reference_set", "SELECT DISTINCT source AS value FROM documents")
