@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import bpe, chat, lines, mixing, neighbours, quality, secrets, sharding, simhash, suffixes, toxicity, trie
+from tickertide.llm import bpe, chat, lines, mixing, neighbours, quality, secrets, sharding, simhash, suffixes, toxicity, trie, variants
 from tickertide.llm.common import is_held_out, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,6 +69,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", "role", F.col("found").alias("role_found"), F.length("rendered").cast("long").alias("n_rendered"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shards(table(spark, sf_dir, "documents"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_chat": op10_chat,
+    "op11_variants": op11_variants,
     "op12_shards": op12_shards,
     "op13_prefix_trie": op13_prefix_trie,
 }
