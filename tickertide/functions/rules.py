@@ -78,7 +78,8 @@ def price_text(c: Column) -> Column:
 
 
 def change_percent(close: Column, before: Column) -> Column:
-    return F.abs(close - before) / before * 100
+    """Null where there is nothing above 0 to compare with."""
+    return F.when(before > 0, F.abs(close - before) / before * 100)
 
 
 def created_datetime(created_utc: Column, *texts: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.functions import rules as R
+from tickertide.operators.folds import with_last_valid
 
 BAR_FIELDS = {"symbol": "string", "open": "double", "high": "double", "low": "double", "close": "double", "volume": "bigint", "vwap": "double", "timestamp": "double", "collection_timestamp": "string", "transactions": "bigint"}
 BAR_REQUIRED = ("symbol", "close", "timestamp", "collection_timestamp")
@@ -133,6 +134,20 @@ def validate_bars(classified: DataFrame, now: Column, previous: Column | None =
     return typed.withColumn("errors", R.all_errors(schema, business)).withColumn("symbol", F.upper("symbol"))
 
 
+def validate_bars_in_order(classified: DataFrame, now: Column, blocks: int | None = None) -> DataFrame:
+    """validate_bars() with the rule of sudden changes: a bar that passes all others is held against the symbol's last accepted close.
+
+    Bars are judged in order of their timestamps. A change of more than the limit is a business error of its own, and
+    the bar does not become the next one's base.
+    """
+    judged = validate_bars(classified, now)
+    rows = judged.select("symbol", R.epoch_ms(F.col("timestamp")).alias("bar_ts"), "close", (F.size("errors") == 0).alias("ok"), F.struct(*judged.columns).alias("row"))
+    folded = with_last_valid(rows, blocks=blocks)
+    sudden = F.when(F.col("ok") & ~F.col("accepted"), F.concat(F.lit("Business rule error: "), R.rule_sudden_change(F.col("close"), F.col("last_close"))))
+    errors = F.when(sudden.isNotNull(), F.array(sudden)).otherwise(F.col("row.errors"))
+    return folded.select(*(errors.alias(c) if c == "errors" else F.col("row")[c].alias(c) for c in judged.columns))
+
+
 #: What every post and comment must have, in the order in which it is checked.
 REDDIT_REQUIRED = ("id", "source", "content_type", "collection_timestamp", "created_utc", "author", "score", "subreddit", "permalink")
 POST_REQUIRED, COMMENT_REQUIRED = ("url", "is_self"), ("post_id", "parent_id")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 
 def rank_within(keys: list[str], *order) -> Column:
@@ -205,33 +202,5 @@ def news_queries(news: DataFrame, queries: list[dict], now: int, days: int = 7)
     return union_topics(*found).dropDuplicates(["url"])
 
 
-def with_last_valid(bars: DataFrame, max_percent: float = 20.0) -> DataFrame:
-    """bars (symbol, bar_ts, close, ok) -> the same with last_close (of the last accepted bar before) and accepted.
-
-    A row is accepted if it is ok and its close moved no more than max_percent from the last accepted one. Acceptance
-    depends on earlier acceptance, so lag would give another answer: each symbol's bars pass by in order and only the
-    last accepted close is held, so a history of any length takes time in proportion and no memory. Columns named
-    last_close and accepted are replaced.
-    """
-    bars = bars.drop("last_close", "accepted")
-    at = [bars.columns.index(c) for c in ("symbol", "close", "ok")]
-    schema = StructType([*bars.schema.fields, StructField("last_close", DoubleType()), StructField("accepted", BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, last, begun = None, None, False
-        for batch in batches:
-            before, accepted = [], []
-            for name, close, ok in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
-                if not begun or name != symbol:
-                    symbol, last, begun = name, None, True
-                good = bool(ok) and close is not None and (last is None or not abs(close - last) / last * 100 > max_percent)
-                before.append(last)
-                accepted.append(good)
-                last = float(close) if good else last
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.float64()), pa.array(accepted, pa.bool_())], names=schema.names)
-
-    return bars.repartition("symbol").sortWithinPartitions("symbol", "bar_ts", "close", "ok").mapInArrow(run, schema)
-
-
 def latest_valid_per_symbol(folded: DataFrame) -> DataFrame:
     return folded.where("accepted").groupBy("symbol").agg(F.max_by("close", "bar_ts").alias("close"), F.max("bar_ts").alias("bar_ts"))

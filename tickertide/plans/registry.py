@@ -14,6 +14,8 @@ from tickertide.functions import sentiment as S
 from tickertide.functions import text as X
 from tickertide.functions.registration import register_functions
 from tickertide.operators import bars as B
+from tickertide.operators import copies as C
+from tickertide.operators import folds as L
 from tickertide.operators import records as P
 from tickertide.operators import sentiment as O
 from tickertide.operators import signals as G
@@ -304,17 +306,28 @@ def checked_bars(s, d):
 
 @query("j5_with_last_valid", f"{_FOLD} SELECT symbol, epoch(bar_ts)::bigint AS ts, round(last_close, 6) AS last_close, accepted FROM fold", "raw_bars")
 def _(s, d):
-    return T.with_last_valid(checked_bars(s, d)).select("symbol", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"), r6("last_close").alias("last_close"), "accepted")
+    return L.with_last_valid(checked_bars(s, d)).select("symbol", F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"), r6("last_close").alias("last_close"), "accepted")
+
+
+_ONE = _FOLD.replace("SELECT symbol, bar_ts, close, coalesce", "SELECT 'ALL' AS symbol, bar_ts, close, coalesce").replace("row_number() OVER (PARTITION BY symbol ORDER BY bar_ts)", "row_number() OVER (ORDER BY bar_ts, symbol)")
+
+
+@query("j5_one_symbol_in_blocks", f"{_ONE} SELECT epoch(bar_ts)::bigint AS ts, round(last_close, 6) AS last_close, count(*) AS n, count(*) FILTER (accepted) AS n_accepted FROM fold GROUP BY 1, 2", "raw_bars")
+def _(s, d):
+    # all bars as one symbol's, whose order among bars of one time is that of their names
+    first = F.unix_timestamp(F.col("bar_ts").cast("timestamp"))
+    rows = checked_bars(s, d).select(F.lit("ALL").alias("symbol"), F.struct("bar_ts", "symbol").alias("bar_ts"), "close", "ok", first.alias("ts"))
+    return L.with_last_valid(rows, blocks=16).groupBy("ts", r6("last_close").alias("last_close")).agg(F.count("*").alias("n"), F.count_if("accepted").alias("n_accepted"))
 
 
 @query("v10_sudden_change", f"{_FOLD} SELECT symbol, count(*) AS n FROM fold WHERE ok AND NOT accepted GROUP BY 1", "raw_bars")
 def _(s, d):
-    return T.with_last_valid(checked_bars(s, d)).where("ok and not accepted").groupBy("symbol").agg(F.count("*").alias("n"))
+    return L.with_last_valid(checked_bars(s, d)).where("ok and not accepted").groupBy("symbol").agg(F.count("*").alias("n"))
 
 
 @query("w2_latest_valid", f"{_FOLD} SELECT symbol, round(arg_max(close, bar_ts), 6) AS close, epoch(max(bar_ts))::bigint AS ts FROM fold WHERE accepted GROUP BY 1", "raw_bars")
 def _(s, d):
-    return T.latest_valid_per_symbol(T.with_last_valid(checked_bars(s, d))).select("symbol", r6("close").alias("close"), F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"))
+    return T.latest_valid_per_symbol(L.with_last_valid(checked_bars(s, d))).select("symbol", r6("close").alias("close"), F.unix_timestamp(F.col("bar_ts").cast("timestamp")).alias("ts"))
 
 
 @query("j6_posts_for_symbol", f"WITH syms AS ({_SYMS}) SELECT id FROM syms WHERE list_contains(symbols, 'THE')", "posts")
@@ -515,6 +528,18 @@ def _(s, d):
     return P.validate_bars(bar_messages(s, d), now()).select("symbol", (F.col("timestamp") / 1000).cast("long").alias("ts"), F.array_join("errors", "|").alias("errors"))
 
 
+_CHANGED = f"""{_BARERR.replace("WITH e AS", "RECURSIVE WITH e AS", 1)},
+g AS (SELECT upper(symbol) AS symbol, t, se, be, len(se) = 0 AND len(be) = 0 AND close IS NOT NULL AS ok, close, row_number() OVER (PARTITION BY upper(symbol) ORDER BY t) AS k FROM (SELECT f.*, r.close FROM f JOIN (SELECT symbol, epoch(bar_ts)::bigint AS t, close FROM raw_bars) r USING (symbol, t))),
+fold AS (SELECT symbol, t, se, be, ok, close, k, cast(NULL AS double) AS last, ok AS accepted FROM g WHERE k = 1 UNION ALL
+SELECT g.symbol, g.t, g.se, g.be, g.ok, g.close, g.k, CASE WHEN fold.accepted THEN fold.close ELSE fold.last END, g.ok AND ((CASE WHEN fold.accepted THEN fold.close ELSE fold.last END) IS NULL OR NOT abs(g.close - (CASE WHEN fold.accepted THEN fold.close ELSE fold.last END)) / (CASE WHEN fold.accepted THEN fold.close ELSE fold.last END) * 100 > 20) FROM fold JOIN g ON g.symbol = fold.symbol AND g.k = fold.k + 1)"""
+
+
+@query("v26_validate_bars_in_order", f"{_CHANGED} SELECT symbol, t AS ts, array_to_string(CASE WHEN len(se) > 0 THEN se WHEN ok AND NOT accepted THEN ['Business rule error: Suspicious price change of ' || printf('%.2f', abs(close - last) / last * 100) || '%'] ELSE be END, '|') AS errors FROM fold", "raw_bars")
+def _(s, d):
+    # an hour after the last bar, so that most are recent enough to be judged by their change
+    return P.validate_bars_in_order(bar_messages(s, d), now()).select("symbol", (F.col("timestamp") / 1000).cast("long").alias("ts"), F.array_join("errors", "|").alias("errors"))
+
+
 @query("r1_route", f"{_BARERR} SELECT CASE WHEN len(se) > 0 OR len(be) > 0 THEN 'invalid' ELSE 'valid' END AS topic, count(*) AS n FROM f GROUP BY 1", "raw_bars")
 def _(s, d):
     return T.route(P.validate_bars(bar_messages(s, d), now()).withColumn("is_error", F.lit(False)), "valid", "invalid", "error").groupBy("topic").agg(F.count("*").alias("n"))
@@ -967,6 +992,21 @@ def _(s, d):
     return G.normalised_copies(s.read.parquet(f"{d}/documents.parquet"), "doc_id", F.col("text"))
 
 
+_SHINGLES = f"""RECURSIVE words AS (SELECT doc_id, coalesce(list_filter(string_split_regex(lower(text), '{WORD}'), lambda w: w <> ''), []) AS ws FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM words WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+near AS (SELECT a, b FROM met JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE k >= 0.8 * (p.n + q.n - k) - 1e-9 UNION ALL SELECT min(doc_id) OVER (), doc_id FROM words WHERE len(ws) = 0),
+links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+reached AS (SELECT a AS doc_id, a AS r FROM links UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.r),
+groups AS (SELECT doc_id, min(r) AS group_id FROM reached GROUP BY 1)"""
+
+
+@query("d40_near_copies", f"WITH {_SHINGLES} SELECT doc_id, group_id, n_group FROM groups JOIN (SELECT group_id, count(*) AS n_group FROM groups GROUP BY 1) USING (group_id) WHERE n_group > 1")
+def _(s, d):
+    return C.near_copies(s.read.parquet(f"{d}/documents.parquet"), "doc_id", F.col("text"))
+
+
 @query("d41_corr_matrix", f"WITH {_RET} SELECT x.symbol AS symbol_a, y.symbol AS symbol_b, round(corr(x.ret, y.ret), 6) AS correlation, count(*) AS n FROM ret x JOIN ret y ON x.bar_ts = y.bar_ts AND x.symbol < y.symbol GROUP BY 1, 2", "bars")
 def _(s, d):
     return G.corr_matrix(hourly_returns(s, d)).withColumn("correlation", r6("correlation"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tickertide.operators.folds import accept
 from tickertide.operators.records import parse_posts
 from tickertide.operators.sentiment import ticker_rows
 
@@ -64,17 +65,12 @@ def validate_bars_stream(df: DataFrame, max_percent: float = 20.0) -> DataFrame:
     """df (symbol, bar_ts, close, ok) -> the same with last_close and accepted; the last accepted close is kept by symbol over batches and runs."""
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
         rows = pd.concat(list(frames)).sort_values(["bar_ts", "close"])
-        before, accepted = [], []
-        for close, ok in zip(rows["close"], rows["ok"], strict=True):
-            good = bool(ok) and not pd.isna(close) and (last is None or not abs(close - last) / last * 100 > max_percent)
-            before.append(last)
-            accepted.append(good)
-            last = float(close) if good else last
+        close, ok = rows["close"].to_numpy(float, na_value=float("nan")), rows["ok"].fillna(False).to_numpy(bool)
+        before, accepted, last = accept(close, ok, state.get[0] if state.exists else None, max_percent)
         if last is not None:
             state.update((last,))
-        yield rows.assign(last_close=pd.Series(before, index=rows.index, dtype="float64"), accepted=accepted)[["symbol", "bar_ts", "close", "ok", "last_close", "accepted"]]
+        yield rows.assign(last_close=before, accepted=accepted)[["symbol", "bar_ts", "close", "ok", "last_close", "accepted"]]
 
     rows = df.select("symbol", "bar_ts", "close", "ok")
     return rows.groupBy("symbol").applyInPandasWithState(fold, "symbol string, bar_ts timestamp, close double, ok boolean, last_close double, accepted boolean", "last double", "append", GroupStateTimeout.NoTimeout)
