@@ -941,7 +941,7 @@ def _(s, d):
 
 
 def hourly_returns(s, d):
-    rows = V.bars(s, d).withColumn("ret", B.log_return()).where("ret is not null")
+    rows = B.log_returns(V.bars(s, d)).withColumnRenamed("log_return", "ret").where("ret is not null")
     return rows.select("symbol", "bar_ts", F.floor(F.unix_timestamp(F.col("bar_ts").cast("timestamp")) / 3600).alias("hour"), "ret")
 
 
@@ -964,7 +964,7 @@ def outcomes(s, d):
     """Each bar's direction, predicted by the one before."""
     r = hourly_returns(s, d)
     way = F.when(F.col("ret") > 0, "up").otherwise("down")
-    return r.select("symbol", "bar_ts", way.alias("actual")).withColumn("predicted", F.lag("actual").over(B.by_symbol())).where("predicted is not null")
+    return B.lagged(r.select("symbol", "bar_ts", way.alias("actual")), "actual", "predicted").where("predicted is not null")
 
 
 _OUTC = f"{_RET}, way AS (SELECT symbol, bar_ts, CASE WHEN ret > 0 THEN 'up' ELSE 'down' END AS actual FROM ret), outc AS (SELECT * FROM (SELECT *, lag(actual) OVER (PARTITION BY symbol ORDER BY bar_ts) AS predicted FROM way) WHERE predicted IS NOT NULL)"
