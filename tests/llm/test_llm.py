@@ -107,6 +107,8 @@ def test_near_dedup_stage_equals_brute_force(spark):
     texts += ["", None, " \n"]
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
     near = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+    fps = [simhash.fingerprint(t) for t in texts]
+    near |= np.array([[((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for b in fps] for a in fps])
     frame = docs(spark, texts)
     assert {r["doc_id"] for r in P.dedup_documents(spark, frame, "").collect()} == set(components_of(near))
     assert len(set(components_of(near))) < simhash.near_duplicates(frame).select("component_id").distinct().count()

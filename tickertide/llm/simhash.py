@@ -20,14 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
 from tickertide.llm.common import packed, park, unpark
 from tickertide.llm.graph import components
+from tickertide.operators import copies
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
-#: similar() and keep_one(): words of a shingle, the similarity of the sets, and the hashes a text is joined on at most.
-WORDS, SIMILARITY, KEYS = 5, 0.8, 12
+#: similar() and keep_one(): words of a shingle and the similarity of the sets.
+WORDS, SIMILARITY = 5, 0.8
 #: Fingerprints in a tile, about: a pair of tiles takes a few MB in slices.
 TILE = 2048
 _SLICE = 512
@@ -119,75 +120,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(group.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
 
 
-def shingle_hashes(text: str | None, n: int) -> np.ndarray:
-    """The distinct hashes of the text's n-word shingles, sorted; none for a text without words."""
-    words = (text or "").encode().lower().split()
-    shingles = {b" ".join(words)} if 0 < len(words) < n else {b" ".join(s) for s in zip(*(words[i:] for i in range(n)), strict=False)}
-    return np.unique(np.array([xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """pairs (a, b) of digests -> those whose sets of shingles have the similarity (Jaccard)."""
-    read = lambda k: sets.select(F.col("whole").alias(k), F.col("hashes").alias(f"h_{k}"))
-
-    def run(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = (np.frombuffer(h.as_py(), np.uint64) for h in (x, y))
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                ok.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
-
-    return pairs.join(read("a"), "a").join(read("b"), "b").select("a", "b", "h_a", "h_b").mapInArrow(run, "a binary, b binary")
-
-
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Per row: id, component_id (the least id that links reach); texts link whose sets of n-word shingles are similar.
+    """Per id: component_id (the least id that links reach).
 
-    A text's join keys are its least hashes. Of two similar texts each lacks (1 - similarity) of its own at most, so the
-    first hash they share is among the first (1 - similarity) size + 1 of both; past KEYS of them, the chance that
-    similar texts share none is (1 - similarity) ** KEYS. Each pair is then verified on the whole sets. In each bucket
-    all are held against the least one first, then those of different groups against each other.
+    Fingerprints in tiles link what is nearly the same. Texts at the similarity of their n-word shingles may differ by a
+    dozen bits, though, a radius at which population counts tell no tiles apart. So the join of whole shingle sets, whose
+    buckets are bounded and whose links are exact, adds what is similar; components are those over both kinds of links.
     """
-
-    def run(batches):
-        for batch in batches:
-            sets = [shingle_hashes(t.as_py(), n) for t in batch.column(1)]
-            keys = [h[: min(KEYS, int((1 - similarity) * len(h) + 1e-9) + 1)].view(np.int64).tolist() for h in sets]
-            raw = [h.tobytes() for h in sets]
-            yield pa.RecordBatch.from_pydict({id_col: batch.column(0), "whole": pa.array([xxh3_128_digest(h) for h in raw], pa.binary()), "size": pa.array(map(len, sets), pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64())), "hashes": pa.array(raw, pa.binary())})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, whole binary, size long, keys array<long>, hashes binary")
-    rows = park(rows, "shingles")
-    distinct = park(rows.groupBy("whole").agg(F.min(id_col).alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys")), "distinct")
-    # of equal sets only one is ever fetched
-    sets = rows.dropDuplicates(["whole"]).select("whole", "hashes")
-    dealt = distinct.select("whole", "size", F.explode("keys").alias("key"))
-    fits = F.least("size", "size_b") >= F.greatest("size", "size_b") * similarity - 1e-9
-    leaders = park(dealt.groupBy("key").agg(F.min(F.struct("whole", "size")).alias("l"), F.count("*").alias("n")).where("n > 1").select("key", F.col("l.whole").alias("b"), F.col("l.size").alias("size_b")), "leaders")
-    stars = dealt.join(leaders, "key").where((F.col("whole") != F.col("b")) & fits).select(F.col("whole").alias("a"), "b").distinct()
-    first = park(_alike(stars, sets, similarity), "stars")
-    roots = components(first)
-    lead = leaders.join(roots, F.col("b") == F.col("node"), "left").select("key", F.coalesce("root", "b").alias("lead"))
-    grouped = dealt.join(roots, F.col("whole") == F.col("node"), "left").select("key", "whole", "size", F.coalesce("root", "whole").alias("root"))
-    grouped = park(grouped.join(lead, "key").withColumn("out", F.col("root") != F.col("lead")), "grouped")
-    # only what stands outside the least one's group is held against the others, each pair once
-    other = grouped.select("key", F.col("whole").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"), F.col("out").alias("out_b"))
-    rest = grouped.where("out").join(other, "key").where((~F.col("out_b") | (F.col("whole") < F.col("b"))) & (F.col("root") != F.col("root_b")) & fits).select(F.col("whole").alias("a"), "b").distinct()
-    rest = park(_alike(rest, sets, similarity), "rest")
-    roots = components(first.unionByName(rest))
-    group = park(distinct.join(roots, F.col("whole") == F.col("node"), "left").select("whole", "least", F.coalesce("root", "whole").alias("root")), "group")
-    least = park(group.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    out = park(rows.select(id_col, "whole").join(group.join(least, "root").select("whole", "component_id"), "whole").select(id_col, "component_id"), "similar")
-    unpark(docs.sparkSession, rows, distinct, leaders, first, grouped, rest, group, least)
+    spark = docs.sparkSession
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    tiled = near_duplicates(rows, "id", "text").select("id", F.col("component_id").alias("to"))
+    joined = copies.similar(rows, "id", F.lower("text"), n, similarity).select("id", F.col("group_id").alias("to"))
+    linked = park(tiled.unionByName(joined).distinct(), "joined")
+    roots = components(linked.select(F.col("id").alias("a"), F.col("to").alias("b")))
+    out = park(linked.select("id").distinct().join(roots, F.col("id") == F.col("node"), "left").select(F.col("id").alias(id_col), F.coalesce("root", "id").alias("component_id")), "similar")
+    unpark(spark, linked)
     return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each component of similar(), that of the least id. Rows without an id stay, and so do all
     rows that share the kept id; columns may have any names."""
-    kept = similar(docs.select(id_col, text_col).where(F.col(id_col).isNotNull()), id_col, text_col, n, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept")).distinct()
+    kept = similar(docs, id_col, text_col, n, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept"))
     own = F.col("packed")[id_col]
     return packed(docs).join(kept, own == F.col("kept"), "left").where(F.col("kept").isNotNull() | own.isNull()).select("packed.*")
