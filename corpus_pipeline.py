@@ -28,8 +28,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least id: sets of five-word shingles at a similarity of
-    0.8, verified exactly. Empty and null texts are one group. Rows without an id stay."""
+    """One document of each group of near-duplicates, that of the least id: SimHash fingerprints within two bits, or sets of
+    five-word shingles at a similarity of 0.8, verified exactly. Empty and null texts are one group. Rows without an id stay."""
     return simhash.keep_one(docs)
 
 
