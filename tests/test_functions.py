@@ -112,9 +112,11 @@ def test_empty_inputs(spark):
 
 def test_sql_functions(spark):
     names = register_functions(spark, {"good": 2.0}, None)
-    assert "fast_sentiment_udf" in names
+    assert names == ["preprocess_udf", "fast_sentiment_udf", "deep_sentiment_udf", "weighted_sentiment_udf", "explode_ticker_sentiment_udf"]
+    assert spark.sql("SELECT deep_sentiment_udf('a').p_pos").first()[0] is None
+    assert tuple(spark.sql("SELECT inline(array(fast_sentiment_udf(cast(null AS string))))").first()) == (0.0, 0.0, 0.0, 1.0)
     assert spark.sql("SELECT weighted_sentiment_udf(-0.7677000164985657D, 0.5D, 4759D, 0.9700000286102295D)").first()[0] == pytest.approx(0.11609929862, abs=1e-9)
-    assert spark.sql("SELECT fast_sentiment_udf('good good')").first()[0] == pytest.approx(4 / (16 + 15) ** 0.5)
+    assert spark.sql("SELECT fast_sentiment_udf('good good').compound").first()[0] == pytest.approx(4 / (16 + 15) ** 0.5)
 
 
 def test_state_survives_restart(spark, tmp_path):

@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from math import copysign, sqrt
 
 import pandas as pd
+import regex
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tickertide.config import SentimentConfig
+from tickertide.functions.text import NON_WORD
 
-def register_functions(spark: SparkSession, lexicon: dict[str, float] | None = None, scorer: Callable[[pd.Series], pd.DataFrame] | None = None) -> list[str]:
-    """Register what is possible; the names that are now known are returned.
+FAST = ("compound", "pos", "neg", "neu")
+DEEP = ("p_neg", "p_neu", "p_pos")
 
-    lexicon: a small user table for ad-hoc SQL (operators.sentiment.lexicon_sentiment is the way for large tables).
-    scorer: texts -> a frame with p_neg, p_neu and p_pos.
+
+def fast_scores(text: str, lexicon: dict[str, float], negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig(), look_back: int = 3) -> tuple[float, float, float, float]:
+    """What operators.sentiment.lexicon_scores works out, for one text at a time."""
+    words = [w for w in regex.split(NON_WORD, text.lower()) if w]
+    found = []
+    for i, w in enumerate(words):
+        v = lexicon.get(w, 0.0)
+        if v:
+            before = words[max(0, i - look_back) : i]
+            v += copysign(cfg.boost, v) if any(b in boosters for b in before) else 0.0
+            v *= cfg.negation if any(b in negations for b in before) else 1.0
+            found += [v] if v else []
+    total, pos, neg, neu = sum(found), sum(v + 1 for v in found if v > 0), sum(1 - v for v in found if v < 0), len(words) - len(found)
+    every = pos + neg + neu
+    return (total / sqrt(total * total + cfg.alpha), pos / every, neg / every, neu / every) if words else (0.0, 0.0, 0.0, 1.0)
+
+
+def register_functions(spark: SparkSession, lexicon: dict[str, float] | None = None, scorer: Callable[[pd.Series], pd.DataFrame] | None = None, negations: Sequence[str] = (), boosters: Sequence[str] = ()) -> list[str]:
+    """Register the five functions; their names are returned.
+
+    lexicon: for fast_sentiment_udf (operators.sentiment.lexicon_sentiment is the way for large tables); without one no word counts.
+    scorer: texts -> a frame with p_neg, p_neu and p_pos, for deep_sentiment_udf; without one these are null.
     """
     run = spark.sql
     run(
@@ -26,23 +50,16 @@ def register_functions(spark: SparkSession, lexicon: dict[str, float] | None = N
         "CREATE OR REPLACE TEMPORARY FUNCTION explode_ticker_sentiment_udf(tickers ARRAY<STRING>, label STRING, score DOUBLE, conf DOUBLE) RETURNS ARRAY<STRUCT<ticker STRING, sentiment STRING, score DOUBLE, confidence DOUBLE>> "
         "RETURN transform(tickers, t -> named_struct('ticker', t, 'sentiment', label, 'score', score, 'confidence', conf))"
     )
-    names = ["preprocess_udf", "weighted_sentiment_udf", "explode_ticker_sentiment_udf"]
-    if lexicon is not None:
-        values = dict(lexicon)
-
-        @F.pandas_udf("double")
-        def fast_sentiment_udf(texts: pd.Series) -> pd.Series:
-            total = texts.fillna("").str.lower().str.findall(r"\w+").map(lambda ws: sum(values.get(w, 0.0) for w in ws))
-            return total / (total**2 + 15) ** 0.5
-
-        spark.udf.register("fast_sentiment_udf", fast_sentiment_udf)
-        names.append("fast_sentiment_udf")
-    if scorer is not None:
-
-        @F.pandas_udf("struct<p_neg: double, p_neu: double, p_pos: double>")
-        def deep_sentiment_udf(texts: pd.Series) -> pd.DataFrame:
-            return scorer(texts.fillna(""))
-
-        spark.udf.register("deep_sentiment_udf", deep_sentiment_udf)
-        names.append("deep_sentiment_udf")
-    return names
+    values, before = dict(lexicon or {}), (frozenset(negations), frozenset(boosters))
+
+    @F.pandas_udf(", ".join(f"{c} double" for c in FAST))
+    def fast_sentiment_udf(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fast_scores(t, values, *before) for t in texts.fillna("")], columns=FAST)
+
+    @F.pandas_udf(", ".join(f"{c} double" for c in DEEP))
+    def deep_sentiment_udf(texts: pd.Series) -> pd.DataFrame:
+        return scorer(texts.fillna(""))[list(DEEP)] if scorer else pd.DataFrame({c: pd.Series([None] * len(texts), dtype="float64") for c in DEEP})
+
+    spark.udf.register("fast_sentiment_udf", fast_sentiment_udf)
+    spark.udf.register("deep_sentiment_udf", deep_sentiment_udf)
+    return ["preprocess_udf", "fast_sentiment_udf", "deep_sentiment_udf", "weighted_sentiment_udf", "explode_ticker_sentiment_udf"]

@@ -1,32 +1,31 @@
-"""Sentiment over tables: the lexicon tier as a join, the model tier over distinct texts, and the whole chain."""
+"""Sentiment over tables: the lexicon tier as an expression, the model tier over distinct texts, and the whole chain."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tickertide.config import SentimentConfig, TextConfig
 from tickertide.functions import sentiment as S
 from tickertide.functions import text as X
 
-def tokens(df: DataFrame, id_col: str, text: Column, look_back: int = 3) -> DataFrame:
-    """id, pos, token, before (up to look_back tokens before it); texts without tokens give no rows."""
-    words = df.select(id_col, X.words(F.lower(text)).alias("ws"))
-    items = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), w.alias("token"), F.slice("ws", F.greatest(i - look_back + 1, F.lit(1)), F.least(i, F.lit(look_back))).alias("before")))
-    return words.select(id_col, F.explode(items).alias("t")).select(id_col, "t.*")
+#: Terms of a lexicon at most: it is held in every task. Vocabularies stay far below.
+MOST_TERMS = 500_000
+#: Separates terms in a literal; no word holds it.
+_SEPARATOR = "\x01"
 
 
-#: Terms up to which a lexicon is written into the expression; a larger one is joined.
-WRITTEN = 20_000
-
-
-def terms_of(lexicon: DataFrame) -> list[tuple[str, float]] | None:
-    """The lexicon's terms in order of their bytes, or None if there are more than WRITTEN; a term that repeats counts once, with its greatest valence."""
-    rows = lexicon.groupBy("term").agg(F.max("valence").alias("valence")).where("term is not null and valence is not null").limit(WRITTEN + 1).collect()
-    return sorted(((r["term"], float(r["valence"])) for r in rows), key=lambda r: r[0].encode()) if len(rows) <= WRITTEN else None
+def terms_of(lexicon: DataFrame) -> list[tuple[str, float]]:
+    """The lexicon's terms in order of their bytes; a term that repeats counts once, with its greatest valence."""
+    rows = lexicon.groupBy("term").agg(F.max("valence").alias("valence")).where("term is not null and valence is not null").limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"a lexicon may have {MOST_TERMS} terms at most")
+    return sorted(((r["term"], float(r["valence"])) for r in rows), key=lambda r: r[0].encode())
 
 
 def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -34,30 +33,51 @@ def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+class Lexicon:
+    """Valences by a hash table that stands in the plan as three literals, whatever the number of terms.
+
+    Terms lie in order of their slots, the low bits of Spark's xxhash64; starts tells where a slot begins. With four
+    slots a term most words find theirs empty.
+    """
+
+    def __init__(self, terms: list[tuple[str, float]]):
+        self.slots = 1 << (4 * len(terms)).bit_length()
+        dealt = sorted((xxh64_intdigest(t.encode(), 42) % self.slots, t, v) for t, v in terms if _SEPARATOR not in t)
+        counts = [0] * (self.slots + 1)
+        for slot, *_ in dealt:
+            counts[slot + 1] += 1
+        literal = lambda values, kind: F.split(F.lit(_SEPARATOR.join(values)), _SEPARATOR, -1).cast(f"array<{kind}>")
+        self.starts = literal(map(str, accumulate(counts)), "int")
+        self.names, self.values = literal((t for _, t, _ in dealt), "string"), literal((repr(v) for *_, v in dealt), "double")
+
+    def valence(self, word: Column) -> Column:
+        """Null for words that the lexicon does not have."""
+        slot = F.pmod(F.xxhash64(word), F.lit(self.slots)).cast("int")
+
+        def within(s: Column) -> Column:
+            at = F.array_position(F.slice(self.names, s["a"] + 1, s["b"] - s["a"]), word).cast("int")
+            return F.when(s["b"] > s["a"], F.get(self.values, F.nullif(at, F.lit(0)) + s["a"] - 1))
+
+        return _bind(slot, lambda k: _bind(F.struct(F.get(self.starts, k).alias("a"), F.get(self.starts, k + 1).alias("b")), within))
+
+
 def lexicon_scores(text: Column, terms: list[tuple[str, float]], negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig(), look_back: int = 3) -> Column:
-    """compound, pos, neg, neu of a text, as one expression: no shuffle, and it runs on streams. Words are looked up in `terms` by halving."""
+    """compound, pos, neg, neu of a text, as one expression: no shuffle, and it runs on streams."""
     empty = F.struct(F.lit(0.0).alias("compound"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"), F.lit(1.0).alias("neu"))
     if not terms:
         return empty
-    names, values = F.array(*(F.lit(t) for t, _ in terms)), F.array(*(F.lit(v) for _, v in terms))
+    lexicon = Lexicon(terms)
 
-    def valence(w: Column) -> Column:
-        def halve(acc: Column, _: Column) -> Column:
-            mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-            return F.when(F.get(names, mid) <= w, F.struct(mid.alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-
-        steps = F.sequence(F.lit(1), F.lit(max(1, len(terms).bit_length())))
-        return F.get(values, F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(terms)).alias("hi")), halve)["lo"])
-
-    def value(ws: Column, i: Column) -> Column:
+    def value(ws: Column, hit: Column) -> Column:
+        i, v = hit["i"], hit["v"]
         before = F.slice(ws, F.greatest(i - look_back + 1, F.lit(1)), F.least(i, F.lit(look_back)))
         has = lambda some: F.exists(before, lambda b: b.isin(*some)) if some else F.lit(False)
-        boosted = lambda v: v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)
-        return _bind(valence(ws[i]), lambda v: F.when(v == 0, 0.0).otherwise(boosted(v) * F.when(has(negations), cfg.negation).otherwise(1.0)))
+        boosted = v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)
+        return boosted * F.when(has(negations), cfg.negation).otherwise(1.0)
 
     def scored(ws: Column) -> Column:
-        hits = F.filter(F.transform(ws, lambda w, i: F.when(w.isin(*(t for t, _ in terms)), i)), lambda i: i.isNotNull())
-        found = F.filter(F.transform(hits, lambda i: value(ws, i)), lambda v: v != 0)
+        hits = F.filter(F.transform(ws, lambda w, i: F.struct(i.alias("i"), lexicon.valence(w).alias("v"))), lambda h: h["v"] != 0)
+        found = F.filter(F.transform(hits, lambda h: value(ws, h)), lambda v: v != 0)
         add = lambda vs, f: F.aggregate(vs, F.lit(0.0), lambda acc, v: acc + f(v))
         sums = lambda vs: F.struct(add(vs, lambda v: v).alias("s"), add(vs, lambda v: F.when(v > 0, v + 1).otherwise(0.0)).alias("p"), add(vs, lambda v: F.when(v < 0, 1 - v).otherwise(0.0)).alias("n"), (F.size(ws) - F.size(vs)).cast("double").alias("z"))
         total = lambda x: x["p"] + x["n"] + x["z"]
@@ -68,27 +88,9 @@ def lexicon_scores(text: Column, terms: list[tuple[str, float]], negations: Sequ
 
 
 def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, id_col: str = "id", text: Column | str = "text", negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig()) -> DataFrame:
-    """lexicon (term, valence) -> id, compound, pos, neg, neu. Empty texts: 0, 0, 0, 1."""
+    """lexicon (term, valence) -> id, compound, pos, neg, neu, a row for each of df's. Empty and null texts: 0, 0, 0, 1."""
     text = F.col(text) if isinstance(text, str) else text
-    terms = terms_of(lexicon)
-    if terms is not None:
-        return df.select(id_col, lexicon_scores(text, terms, negations, boosters, cfg).alias("fast")).select(id_col, "fast.*")
-    return joined_sentiment(df, lexicon, id_col, text, negations, boosters, cfg)
-
-
-def joined_sentiment(df: DataFrame, lexicon: DataFrame, id_col: str, text: Column, negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig()) -> DataFrame:
-    """The same by a join of every token with a lexicon of any size."""
-    words = tokens(df, id_col, text)
-    known = words.join(lexicon.groupBy(F.col("term").alias("token")).agg(F.max("valence").alias("valence")), "token")
-    has = lambda ws: F.exists("before", lambda b: b.isin(*ws)) if ws else F.lit(False)
-    v = F.col("valence")
-    v = F.when(v == 0, 0.0).otherwise((v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)) * F.when(has(negations), cfg.negation).otherwise(1.0))
-    sums = known.select(id_col, v.alias("v")).groupBy(F.col(id_col).alias("_id")).agg(F.sum("v").alias("s"), F.sum(F.when(F.col("v") > 0, F.col("v") + 1).otherwise(0.0)).alias("p"), F.sum(F.when(F.col("v") < 0, 1 - F.col("v")).otherwise(0.0)).alias("n"), F.count_if(F.col("v") != 0).alias("k"))
-    rows = df.select(id_col, F.coalesce(F.size(X.words(F.lower(text))), F.lit(0)).alias("size")).join(sums, F.col(id_col) == F.col("_id"), "left")
-    s, p, n = (F.coalesce(c, F.lit(0.0)) for c in ("s", "p", "n"))
-    z = (F.col("size") - F.coalesce("k", F.lit(0))).cast("double")
-    share = lambda c, none: F.when(F.col("size") > 0, c / (p + n + z)).otherwise(none)
-    return rows.select(id_col, (s / F.sqrt(s * s + cfg.alpha)).alias("compound"), share(p, 0.0).alias("pos"), share(n, 0.0).alias("neg"), share(z, 1.0).alias("neu"))
+    return df.select(id_col, lexicon_scores(text, terms_of(lexicon), negations, boosters, cfg).alias("fast")).select(id_col, "fast.*")
 
 
 def score_distinct(df: DataFrame, text_col: str, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -130,10 +132,7 @@ def score_posts(posts: DataFrame, lexicon: DataFrame | list[tuple[str, float]],
     """
     rows = posts.withColumn("pre", X.preprocess(F.col("title"), F.col("selftext"), F.col("subreddit"), F.col("score"), F.col("upvote_ratio"), F.col("num_comments"), text_cfg))
     terms = terms_of(lexicon) if isinstance(lexicon, DataFrame) else lexicon
-    if terms is not None:
-        rows = rows.withColumn("fast", lexicon_scores(F.col("pre.cleaned_text"), terms, negations, boosters, cfg)).select("*", "fast.*").drop("fast")
-    else:
-        rows = rows.join(joined_sentiment(rows, lexicon, "id", F.col("pre.cleaned_text"), negations, boosters, cfg), "id")
+    rows = rows.withColumn("fast", lexicon_scores(F.col("pre.cleaned_text"), terms, negations, boosters, cfg)).select("*", "fast.*").drop("fast")
     if deep is None:
         rows = rows.withColumn("deep_score", F.lit(None).cast("double"))
     else:

@@ -165,7 +165,7 @@ def dynamic_weights(scored: DataFrame, n: int = 30, floor: float = 0.05) -> Data
 
 
 def drift(a: DataFrame, b: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Population stability index of column between two periods over the deciles of the first."""
+    """Population stability index of column between two periods over the exact deciles of the first; sketched_drift() is the form for very many values."""
     edges = a.agg(F.percentile(column, F.array(*(F.lit(k / bins) for k in range(1, bins)))).alias("edges"))
     cut = lambda df: df.select(column).withColumn("_k", F.lit(1)).join(F.broadcast(edges.withColumn("_k", F.lit(1))), "_k").select(F.size(F.filter("edges", lambda e: e < F.col(column))).alias("bin"))
     both = cut(a).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0)).unionByName(cut(b).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1)))
@@ -175,6 +175,40 @@ def drift(a: DataFrame, b: DataFrame, column: str, bins: int = 10) -> DataFrame:
     return counts.select("bin", pa.alias("pa"), pb.alias("pb")).agg(F.sum((F.col("pa") - F.col("pb")) * F.log(F.col("pa") / F.col("pb"))).alias("psi"))
 
 
+#: Size of a quantile sketch: ranks are right to about 1 in 1,000.
+SKETCH = 3000
+
+
+def daily_sketches(df: DataFrame, column: str, ts: str, *keys: str, k: int = SKETCH) -> DataFrame:
+    """keys, day, sketch: a mergeable quantile sketch (KLL) of the column for each day, of bounded size. Nulls do not count."""
+    return df.groupBy(*keys, F.to_date(ts).alias("day")).agg(F.kll_sketch_agg_double(F.col(column).cast("double"), k).alias("sketch"))
+
+
+def merged(sketches: DataFrame, *keys: str, k: int = SKETCH) -> DataFrame:
+    """One sketch for each of the keys, or one in all."""
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def quantiles(sketch: Column, bins: int = 10) -> Column:
+    """The values at 1/bins, 2/bins, ...; null for a sketch of nothing."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*(F.lit(i / bins) for i in range(1, bins)))))
+
+
+def sketched_drift(a: DataFrame, b: DataFrame, bins: int = 10, k: int = SKETCH) -> DataFrame:
+    """drift() between two sets of kept sketches: what each period has in the deciles of the first is read from ranks, so
+    no row is looked at again and no state grows with the values. Each share is right to about 2 / k ** 0.9 of the rows.
+    A period without values has no drift (null)."""
+    first = merged(a, k=k)
+    edges = first.select(quantiles(F.col("sketch"), bins).alias("e")).first()["e"]  # bins - 1 numbers, which rank functions take as literals
+    if edges is None:
+        return first.select(F.lit(None).cast("double").alias("psi"))
+    upto = lambda sketch: F.when(F.kll_sketch_get_n_double(sketch) > 0, F.array(F.lit(0.0), *(F.kll_sketch_get_rank_double(sketch, F.lit(float(e))) for e in edges), F.lit(1.0)))
+    share = lambda s, i: F.when(s.isNotNull(), F.greatest(F.get(s, i + 1) - F.get(s, i), F.lit(1e-6)))
+    both = first.select(upto(F.col("sketch")).alias("ra")).crossJoin(merged(b, k=k).select(upto(F.col("sketch")).alias("rb")))  # one row each
+    rows = both.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("i"), "ra", "rb").select(share(F.col("ra"), F.col("i")).alias("pa"), share(F.col("rb"), F.col("i")).alias("pb"))
+    return rows.agg(F.sum((F.col("pa") - F.col("pb")) * F.log(F.col("pa") / F.col("pb"))).alias("psi"))
+
+
 def normalised_copies(df: DataFrame, id_col: str, text: Column) -> DataFrame:
     """id, group_id (the least id of the same text but for case and spacing), n."""
     keyed = df.select(id_col, F.sha2(F.trim(F.regexp_replace(F.lower(text), r"[ \t\n]+", " ")), 256).alias("_h"))

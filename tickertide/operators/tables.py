@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickertide.operators.folds import with_last_valid  # noqa: F401  (one of the joins)
+
 
 def rank_within(keys: list[str], *order) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

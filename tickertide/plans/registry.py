@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickertide.functions import rules as R
@@ -15,8 +15,10 @@ from tickertide.functions import text as X
 from tickertide.functions.registration import register_functions
 from tickertide.operators import bars as B
 from tickertide.operators import copies as C
+from tickertide.operators import correlation as K
 from tickertide.operators import folds as L
 from tickertide.operators import records as P
+from tickertide.operators import search as I
 from tickertide.operators import sentiment as O
 from tickertide.operators import signals as G
 from tickertide.operators import tables as T
@@ -177,6 +179,18 @@ def _(s, d):
     return r.select("id", *(r6(c).alias(c) for c in ("compound", "pos", "neg", "neu")))
 
 
+_WIDE = f"wide AS (SELECT term, ((length(term) % 7) - 3)::double AS valence FROM (SELECT unnest(list_filter(string_split_regex(lower(text), '{WORD}'), lambda w: w <> '')) AS term FROM documents) GROUP BY 1 HAVING count(*) >= 20)"
+
+
+@query("t1_wide_lexicon", f"WITH {_WIDE}, {lex_sql('wide')} SELECT id, round(compound, 6) AS compound, round(pos, 6) AS pos, round(neg, 6) AS neg, round(neu, 6) AS neu FROM lex", "posts")
+def _(s, d):
+    # the corpus's frequent words, thousands of them, as a lexicon
+    words = s.read.parquet(f"{d}/documents.parquet").select(F.explode(X.words(F.lower("text"))).alias("term")).groupBy("term").count().where("count >= 20")
+    wide = words.select("term", (F.length("term") % 7 - 3).cast("double").alias("valence"))
+    r = O.lexicon_sentiment(text_of(V.posts(s, d)), wide, negations=V.NEGATIONS, boosters=V.BOOSTERS)
+    return r.select("id", *(r6(c).alias(c) for c in ("compound", "pos", "neg", "neu")))
+
+
 @query("t2_label3", f"WITH {lex_sql('lexicon')} SELECT id, CASE WHEN compound >= 0.05 THEN 'Bullish' WHEN compound <= -0.05 THEN 'Bearish' ELSE 'Neutral' END AS label FROM lex", "posts lexicon")
 def _(s, d):
     r = O.lexicon_sentiment(text_of(V.posts(s, d)), V.lexicon(s), negations=V.NEGATIONS, boosters=V.BOOSTERS)
@@ -896,7 +910,7 @@ def _(s, d):
     return G.duplicates(s.read.parquet(f"{d}/documents.parquet").select(F.md5("text").alias("h")), "h")
 
 
-_HITS = lambda c: f"len(list_filter(string_split_regex(lower({c}), '{WORD}'), lambda w: w IN ('the', 'der')))"
+_HITS = lambda c, *terms: f"len(list_filter(string_split_regex(lower({c}), '{WORD}'), lambda w: w IN ({_in(terms or ('the', 'der'))})))"
 
 
 @query("d30_news_search", f"SELECT url, cast(10 * {_HITS('title')} + 5 * {_HITS('description')} + {_HITS('content')} AS bigint) AS relevance FROM news ORDER BY relevance DESC, url LIMIT 10", "news")
@@ -904,6 +918,14 @@ def _(s, d):
     return G.news_search(V.news(s, d), ["the", "der"]).select("url", "relevance")
 
 
+@query("d30_news_index", f"SELECT q, url, relevance FROM (SELECT q, url, relevance, row_number() OVER (PARTITION BY q ORDER BY relevance DESC, url) AS k FROM (SELECT 1 AS q, url, cast(10 * {_HITS('title')} + 5 * {_HITS('description')} + {_HITS('content')} AS bigint) AS relevance FROM news UNION ALL SELECT 2, url, cast(10 * {_HITS('title', 'und')} + 5 * {_HITS('description', 'und')} + {_HITS('content', 'und')} AS bigint) FROM news) WHERE relevance > 0) WHERE k <= 10", "news")
+def _(s, d):
+    path = f"{scratch(s)}/index"
+    I.write_index(V.news(s, d), path)
+    found = (I.search_index(s, path, terms).select(F.lit(q).alias("q"), F.col("id").alias("url"), "relevance") for q, terms in ((1, ["the", "DER"]), (2, ["und"])))
+    return T.union_topics(*found)
+
+
 @query("d31_articles_by_symbol", f"WITH syms AS ({_SYMS}) SELECT id, created_utc FROM syms WHERE list_contains(symbols, 'THE') AND {NOW_S} - created_utc BETWEEN 0 AND 20 * 86400 ORDER BY created_utc DESC, id LIMIT 25", "posts")
 def _(s, d):
     n = posts_with_symbols(s, d).select("id", "created_utc", "symbols", F.col("created_utc").alias("published_utc"), F.lpad(F.col("id").cast("string"), 12, "0").alias("url"))
@@ -992,6 +1014,26 @@ def _(s, d):
     return G.normalised_copies(s.read.parquet(f"{d}/documents.parquet"), "doc_id", F.col("text"))
 
 
+@query("d39_sketched_quantiles", "WITH b AS (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY close) / count(*) OVER (PARTITION BY symbol)::double AS r FROM bars), n AS (SELECT symbol, count(*) AS n, count(DISTINCT cast(bar_ts AS date)) AS n_days FROM bars GROUP BY 1) SELECT n.symbol, cast(k AS bigint) AS k, n, n_days, true AS near FROM n, (SELECT unnest(range(1, 10)) AS k) WHERE EXISTS (SELECT 1 FROM b WHERE b.symbol = n.symbol)", "bars")
+def _(s, d):
+    # deciles from sketches kept by day and merged: the share of rows up to each is right to a hundredth
+    bars = V.bars(s, d).select("symbol", "bar_ts", "close")
+    daily = G.daily_sketches(bars, "close", "bar_ts", "symbol")
+    days = daily.groupBy("symbol").agg(F.count("*").alias("n_days"))
+    edges = G.merged(daily, "symbol").select("symbol", F.kll_sketch_get_n_double("sketch").alias("n"), F.posexplode(G.quantiles(F.col("sketch"))).alias("k", "edge"))
+    upto = edges.join(bars.select("symbol", "close"), "symbol").groupBy("symbol", "k", "n").agg(F.avg((F.col("close") <= F.col("edge")).cast("double")).alias("upto"), F.avg((F.col("close") < F.col("edge")).cast("double")).alias("below"))
+    share = (F.col("k") + 1) / 10
+    return upto.join(days, "symbol").select("symbol", (F.col("k") + 1).cast("long").alias("k"), "n", "n_days", ((F.col("upto") >= share - 0.01) & (F.col("below") <= share + 0.01)).alias("near"))
+
+
+@query("d39_sketched_drift", f"WITH d AS ({ORACLE_SQL['d39_drift'].replace('round(sum((pa - pb) * ln(pa / pb)), 6) AS psi', 'sum((pa - pb) * ln(pa / pb)) AS psi')}) SELECT psi >= 0 AS found, true AS near FROM d")
+def _(s, d):
+    b = V.bars(s, d)
+    view, click = b.where("symbol = 'view'"), b.where("symbol = 'click'")
+    sketched = G.sketched_drift(*(G.daily_sketches(x, "close", "bar_ts") for x in (view, click))).select(F.col("psi").alias("s"))
+    return sketched.crossJoin(G.drift(view, click, "close")).select((F.col("s") >= 0).alias("found"), (F.abs(F.col("s") - F.col("psi")) <= 0.05).alias("near"))
+
+
 _SHINGLES = f"""RECURSIVE words AS (SELECT doc_id, coalesce(list_filter(string_split_regex(lower(text), '{WORD}'), lambda w: w <> ''), []) AS ws FROM documents),
 grams AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM words WHERE len(ws) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
@@ -1012,6 +1054,14 @@ def _(s, d):
     return G.corr_matrix(hourly_returns(s, d)).withColumn("correlation", r6("correlation"))
 
 
+@query("d41_gram", f"WITH {_RET}, many AS (SELECT symbol || '/' || (hour // 24) % 40 AS symbol, hour % 24 AS at, avg(ret) AS ret FROM ret GROUP BY 1, 2) SELECT x.symbol AS symbol_a, y.symbol AS symbol_b, round(corr(x.ret, y.ret), 5) AS correlation, count(*) AS n FROM many x JOIN many y ON x.at = y.at AND x.symbol < y.symbol GROUP BY 1, 2 HAVING count(*) >= 5", "bars")
+def _(s, d):
+    # a symbol and a day are a symbol of their own here, so that there are many
+    r = hourly_returns(s, d).select(F.concat("symbol", F.lit("/"), F.expr("(hour div 24) % 40").cast("string")).alias("symbol"), F.timestamp_seconds(F.col("hour") % 24).alias("bar_ts"), "ret")
+    many = r.groupBy("symbol", "bar_ts").agg(F.avg("ret").alias("ret"))
+    return K.gram_correlations(many, width=32, stripes=4).where("n >= 5").withColumn("correlation", F.round("correlation", 5))
+
+
 @query("d42_faceted_counts", f"WITH {_FACTS} SELECT facet, value, count(*) AS n FROM (SELECT 'ticker' AS facet, ticker AS value FROM facts UNION ALL SELECT 'sentiment_label', sentiment_label FROM facts UNION ALL SELECT 'source', source FROM facts) GROUP BY 1, 2", "posts lexicon")
 def _(s, d):
     return G.faceted_counts(ticker_facts(s, d), "ticker", "sentiment_label", "source")
@@ -1026,6 +1076,22 @@ def _(s, d):
     return scored(s, d).select("id", r6(F.expr("weighted_sentiment_udf(compound, 0.5D, cast(score as double), upvote_ratio)")).alias("w"))
 
 
+_LOWERED = r"lower(regexp_replace(regexp_replace(regexp_replace(" + _TEXT + r", 'https?://\S+', '', 'g'), '<[^>]+>', '', 'g'), '@[\p{L}\p{M}\p{N}_]+', '', 'g'))"
+
+
+@query("u1_five_functions", f"WITH {lex_sql('lexicon')}, p AS (SELECT *, (length({_TEXT}) % 11) / 10.0::double AS up FROM posts) SELECT p.id, md5({_LOWERED}) AS h, len(regexp_extract_all({_TEXT}, '\\$([A-Z]{{1,5}})', 1))::bigint AS n_tickers, round(compound, 6) AS compound, round(pos, 6) AS pos, round(neg, 6) AS neg, round(neu, 6) AS neu, round(up, 6) AS p_pos, round((1 - up) / 2, 6) AS p_neg, round((0.3 * compound + 0.7 * up) * least(1.0, 0.5 + score / 1000.0::double) * upvote_ratio, 6) AS weighted FROM p JOIN lex USING (id)", "posts lexicon")
+def _(s, d):
+    def scorer(texts):
+        up = texts.str.len() % 11 / 10.0
+        return texts.to_frame().assign(p_pos=up, p_neg=(1 - up) / 2, p_neu=(1 - up) / 2)
+
+    register_functions(s, dict(V.LEXICON), scorer, V.NEGATIONS, V.BOOSTERS)
+    text_of(V.posts(s, d)).createOrReplaceTempView("u1_posts")
+    called = s.sql("SELECT id, score, upvote_ratio, preprocess_udf(title, selftext) AS pre, fast_sentiment_udf(text) AS fast, deep_sentiment_udf(text) AS deep FROM u1_posts")
+    rows = called.selectExpr("id", "md5(pre.cleaned_text) AS h", "cast(size(explode_ticker_sentiment_udf(pre.tickers, 'x', 0D, 0D)) AS bigint) AS n_tickers", "fast.*", "deep.p_pos", "deep.p_neg", "weighted_sentiment_udf(fast.compound, deep.p_pos, cast(score AS double), upvote_ratio) AS weighted")
+    return rows.select("id", "h", "n_tickers", *(r6(c).alias(c) for c in ("compound", "pos", "neg", "neu", "p_pos", "p_neg", "weighted")))
+
+
 @query("u2_ticker_table_function", f"WITH {_FACTS} SELECT id, ticker, sentiment_label AS sentiment FROM facts", "posts lexicon")
 def _(s, d):
     register_functions(s)
@@ -1056,6 +1122,48 @@ def _(s, d):
     return io.read_jsonl(s, path).agg(F.count("*").alias("n"))
 
 
+_KINDS = "CASE doc_id % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'bad' WHEN 2 THEN 'other' ELSE 'read' END"
+
+
+def mixed_lines(docs):
+    """Blank, broken, other and good lines, by the document's id."""
+    k = F.col("doc_id") % 5
+    return docs.select(F.when(k == 0, " ").when(k == 1, F.concat(F.lit("{bad"), "lang")).when(k == 2, F.to_json(F.array("source"))).otherwise(F.to_json(F.struct("doc_id", "lang"))).alias("value"))
+
+
+@query("s2_line_counts", f"SELECT 'observed' AS part, k AS kind, (SELECT count(*) FROM documents WHERE {_KINDS} = k) AS n FROM (SELECT unnest(['blank', 'bad', 'other', 'read']) AS k) UNION ALL SELECT 'rows', 'read', count(*) FROM documents WHERE {_KINDS} = 'read'")
+def _(s, d):
+    path, counts = f"{scratch(s)}/lines", Observation()
+    mixed_lines(s.read.parquet(f"{d}/documents.parquet")).write.text(path)
+    n = io.read_jsonl(s, path, counts).select("value").groupBy().agg(F.count("*").alias("n")).first()["n"]
+    return s.createDataFrame([("observed", k, v) for k, v in counts.get.items()] + [("rows", "read", n)], "part string, kind string, n long")
+
+
+@query("a9_live_counters", f"SELECT cast(batch AS bigint) AS batch, count(*) AS processed, count(*) FILTER (o = 'valid') AS valid, count(*) FILTER (o = 'invalid') AS invalid, count(*) FILTER (o = 'error') AS errors FROM (SELECT id % 3 AS batch, {_OUTCOME} AS o FROM posts) GROUP BY 1", "posts")
+def _(s, d):
+    base, seen = scratch(s), []
+    posts = V.posts(s, d).select("id", F.expr(_OUTCOME).alias("outcome"))
+    for k in range(3):  # a run, and so a micro-batch, for each part; the query goes on from its checkpoint
+        posts.where(F.col("id") % 3 == k).write.parquet(f"{base}/in/part={k}")
+        rows = s.readStream.schema("id long, outcome string, part int").parquet(f"{base}/in").drop("part")
+        run = M.start(M.live_counts(rows), io._write_batch(f"{base}/out", None), f"{base}/check")
+        run.awaitTermination()
+        seen += [(p.batchId, *p.observedMetrics["outcomes"]) for p in run.recentProgress if "outcomes" in p.observedMetrics]
+    return s.createDataFrame(seen, "batch long, processed long, valid long, invalid long, errors long").where("processed > 0")
+
+
+@query("m7_fresh_counts_stream", f"SELECT start, count(*) AS processed, count(*) FILTER (o = 'valid') AS valid, count(*) FILTER (o = 'invalid') AS invalid, count(*) FILTER (o = 'error') AS error FROM (SELECT DISTINCT id, created_utc - created_utc % 21600 AS start, {_OUTCOME} AS o FROM posts WHERE created_utc BETWEEN {NOW_S} - 29 * 86400 AND {NOW_S} + 300) WHERE start + 21600 <= (SELECT max(created_utc) FROM posts WHERE created_utc <= {NOW_S} + 300) - 3600 GROUP BY 1", "posts")
+def _(s, d):
+    # late and future rows go, each id counts once though all come twice, periods close with the watermark
+    base = scratch(s)
+    rows = V.posts(s, d).select("id", F.timestamp_seconds("created_utc").alias("ts"), F.expr(_OUTCOME).alias("outcome"))
+    rows.unionByName(rows).write.parquet(f"{base}/in")
+    stream = s.readStream.schema("id long, ts timestamp, outcome string").parquet(f"{base}/in")
+    counted = M.fresh_counts(stream, "id", now(), every="6 hours", late="1 hour", max_age_hours=29 * 24)
+    M.start(counted, io._write_batch(f"{base}/out", None), f"{base}/check").awaitTermination()
+    return s.read.schema("start timestamp, processed long, valid long, invalid long, error long").parquet(f"{base}/out").select(F.unix_timestamp("start").alias("start"), "processed", "valid", "invalid", "error")
+
+
 @query("s3_read_reference_set", "SELECT DISTINCT source AS value FROM documents")
 def _(s, d):
     path = f"{scratch(s)}/set"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,28 @@ def read_topics(spark: SparkSession, topics: list[str], servers: str | None = No
     return reader.load(root).where(F.col("topic").isin(topics)).select("topic", F.lit(None).cast("string").alias("key"), "value", F.current_timestamp().alias("timestamp"))
 
 
-def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """value, payload (variant): the lines that hold a JSON object; blank lines, other values and bad JSON are left out."""
-    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("payload", F.try_parse_json("value"))
-    return lines.where(F.startswith(F.schema_of_variant("payload"), F.lit("OBJECT")))
+#: What becomes of a line of a JSON-lines file.
+LINE_KINDS = ("blank", "bad", "other", "read")
+
+
+def read_jsonl(spark: SparkSession, path: str, counts: Observation | None = None) -> DataFrame:
+    """value, payload (variant): the lines that hold a JSON object; blank lines, other values and bad JSON are left out.
+
+    counts: an observation that tells, once the rows have been read, how many lines were blank, bad JSON, other values
+    and objects (LINE_KINDS): in the same pass, without another action.
+    """
+    return of_lines(spark.read.text(path), counts)
+
+
+def of_lines(lines: DataFrame, counts: Observation | str | None = None) -> DataFrame:
+    """read_jsonl() of lines (value) that are there or come as a stream; a stream's observation is a name."""
+    lines = lines.withColumn("payload", F.try_parse_json("value"))
+    is_object = F.startswith(F.schema_of_variant("payload"), F.lit("OBJECT"))
+    kind = F.when(F.trim(F.coalesce("value", F.lit(""))) == "", "blank").when(F.col("payload").isNull(), "bad").when(F.coalesce(is_object, F.lit(False)), "read").otherwise("other")
+    lines = lines.withColumn("kind", kind)
+    if counts is not None:
+        lines = lines.observe(counts, *(F.count_if(F.col("kind") == k).alias(k) for k in LINE_KINDS))
+    return lines.where(F.col("kind") == "read").drop("kind")
 
 
 def read_reference_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:

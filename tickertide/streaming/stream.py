@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickertide.operators.folds import accept
@@ -88,10 +89,61 @@ def stream_stats(routed: DataFrame, every: str = "60 seconds", late: str = "2 mi
     return a.select(F.col("w.start").alias("start"), "processed", "valid", "invalid", "errors")
 
 
+OUTCOMES = ("valid", "invalid", "error")
+
+
+def live_counts(routed: DataFrame, name: str = "outcomes") -> DataFrame:
+    """routed (outcome) as it is, counted on the way: each micro-batch, or the one run of a table, reports processed and
+    each of OUTCOMES under the name. Nothing is shuffled or kept; read them with LiveStats or from the query's progress."""
+    return routed.observe(name, F.count(F.lit(1)).alias("processed"), *(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES))
+
+
+class LiveStats(StreamingQueryListener):
+    """Sums what live_counts() reports, and calls `tell` with each batch's id, its counts and the sums so far.
+
+    A batch that is run again after a failure counts once, by its query and id.
+    """
+
+    def __init__(self, name: str = "outcomes", tell: Callable[[int, dict, dict], None] | None = None):
+        self.name, self.tell, self.batches = name, tell, {}
+
+    @property
+    def totals(self) -> dict[str, int]:
+        return {k: sum(b[k] for b in self.batches.values()) for k in ("processed", *OUTCOMES)}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None:
+            counts = found.asDict()
+            self.batches[str(event.progress.id), event.progress.batchId] = counts
+            if self.tell:
+                self.tell(event.progress.batchId, counts, self.totals)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def stream_dedup(df: DataFrame, key: str, ts: str = "ts", late: str = "1 day") -> DataFrame:
     return df.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
+def fresh_counts(rows: DataFrame, key: str, now: Column, ts: str = "ts", every: str = "60 seconds", late: str = "1 hour", max_age_hours: int = 48, skew_minutes: int = 5) -> DataFrame:
+    """rows (key, ts, outcome) of a stream: those neither too old nor ahead of now, each key once, counted by period.
+
+    One watermark bounds the keys that are held and closes the periods: a row that is later than that against what
+    has come counts no more.
+    """
+    held = drop_late(rows, ts, now, max_age_hours, skew_minutes, late).dropDuplicatesWithinWatermark([key])
+    counted = held.groupBy(F.window(ts, every).alias("w")).agg(F.count("*").alias("processed"), *(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES))
+    return counted.select(F.col("w.start").alias("start"), "processed", *OUTCOMES)
+
+
 def drop_late(df: DataFrame, ts: str, now, max_age_hours: int = 48, skew_minutes: int = 5, late: str = "2 days") -> DataFrame:
     """Rows neither too old nor too far ahead, with a watermark so that later state stays bounded."""
     t = F.col(ts)
