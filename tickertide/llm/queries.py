@@ -99,5 +99,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-#: None of these can be written in SQL: they hash, learn, search or tokenise. tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {}
+#: crc32 by its table, which a rule makes: eight steps of the reversed polynomial.
+_CRC = """steps AS (SELECT i, 0 AS k, i AS v FROM (SELECT unnest(range(256)) AS i) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8)"""
+
+_TRIE = f"""WITH RECURSIVE {_CRC},
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, n, c - c % 5 AS base, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(c AS varchar), ''), lambda x: cast(ascii(x) AS bigint))), lambda acc, b: xor(acc >> 8, t[cast(xor(acc, b) & 255 AS int) + 1])), 4294967295) % 9 AS h FROM (SELECT c, count(*) AS n FROM own GROUP BY 1), crc),
+rebuilt AS (SELECT k.c, o.pos, o.said FROM convs k JOIN own o ON o.c = k.base AND o.pos < k.h UNION ALL SELECT o.c, o.pos - k.h + least(k.h, coalesce(b.n, 0)), o.said FROM own o JOIN convs k USING (c) LEFT JOIN convs b ON b.c = k.base WHERE o.pos >= k.h),
+seqs AS (SELECT k.c, coalesce(s, []) AS s FROM convs k LEFT JOIN (SELECT c, list(said ORDER BY pos) AS s FROM rebuilt GROUP BY 1) USING (c)),
+nodes AS (SELECT p, len(p) AS depth, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(cast(c AS varchar), ',' ORDER BY c) FILTER (WHERE n = len(p)), '')) AS ends_sha256 FROM (SELECT c, len(s) AS n, list_slice(s, 1, d) AS p FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM seqs)) GROUP BY 1),
+kids AS (SELECT list_slice(p, 1, depth - 1) AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+under AS (SELECT n.p, cast(count(*) FILTER (WHERE k.n IS NULL) AS bigint) AS n_leaves, cast(sum(CASE WHEN x.depth > 0 THEN (x.n_convs - 1) * strlen(x.p[x.depth].text) ELSE 0 END) AS bigint) AS saved_tokens FROM nodes n JOIN nodes x ON x.depth >= n.depth AND list_slice(x.p, 1, n.depth) = n.p LEFT JOIN kids k ON k.p = x.p GROUP BY 1)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256 FROM nodes n JOIN under USING (p) LEFT JOIN kids USING (p) LEFT JOIN nodes q ON n.depth > 0 AND q.p = list_slice(n.p, 1, n.depth - 1)"""
+
+#: The others cannot be written in SQL whole: they hash, learn, search, shuffle or tokenise. tests/llm holds brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op13_prefix_trie": _TRIE}
