@@ -70,12 +70,12 @@ def comment_record(comments: DataFrame) -> DataFrame:
 
 
 def enrich_news(news: DataFrame, collected_at: Column, collector_id: str) -> DataFrame:
-    """news with publishedAt (a text): the parts of the date, which are null where it cannot be read, and counts of the content."""
+    """news with publishedAt (a text): the parts of the date, which are null where it cannot be read (published_at is then as it came), and counts of the content."""
     from tickertide.functions.text import text_stats
 
     day = F.try_to_timestamp("publishedAt")
     stats = F.when(F.coalesce("content", F.lit("")) != "", text_stats(F.col("content")))
-    return news.withColumn("collected_at", collected_at).withColumn("collector_id", F.lit(collector_id)).withColumn("source_type", F.lit("newsapi")).withColumn("published_at", iso(day)).withColumn("published_date", F.date_format(day, "yyyy-MM-dd")).withColumn("published_time", F.date_format(day, "HH:mm:ss")).withColumn("published_timezone", F.lit("UTC")).withColumn("content_stats", stats)
+    return news.withColumn("collected_at", collected_at).withColumn("collector_id", F.lit(collector_id)).withColumn("source_type", F.lit("newsapi")).withColumn("published_at", F.coalesce(iso(day), F.col("publishedAt"))).withColumn("published_date", F.date_format(day, "yyyy-MM-dd")).withColumn("published_time", F.date_format(day, "HH:mm:ss")).withColumn("published_timezone", F.lit("UTC")).withColumn("content_stats", stats)
 
 
 def message_key(kind: str, ident: Column) -> Column:
@@ -214,3 +214,26 @@ def check_news_documents(docs: DataFrame) -> DataFrame:
     if "sentiment.label" in found:
         schema.append(R.field_error("sentiment.label", ~F.coalesce(F.col("sentiment.label").isin(*NEWS_LABELS), F.lit(True)), "enum"))
     return docs.withColumn("errors", R.all_errors(schema, []))
+
+
+#: What schema_of_variant says of a value of each type of the store; dates come as texts.
+_VARIANT_KINDS = {"string": "^STRING$", "double": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "boolean": "^BOOLEAN$", "array<string>": r"^ARRAY<(STRING|VOID)>$", "timestamp": r"^(STRING|TIMESTAMP.*|DATE)$"}
+
+
+def check_news_payloads(docs: DataFrame, payload: str = "payload") -> DataFrame:
+    """docs (payload: variant) with errors: check_news_documents() document by document, so that one of a wrong type fails alone.
+    Null fields count as absent; a field that is required and of another type has one error."""
+    errors = []
+    for name, kind in NEWS_STORE.items():
+        here = F.variant_get(payload, f"$.{name}", "variant")
+        there = here.isNotNull() & ~F.coalesce(F.is_variant_null(here), F.lit(False))
+        right = F.schema_of_variant(here).rlike(_VARIANT_KINDS[kind])
+        if kind == "timestamp":
+            right = right & F.try_to_timestamp(F.try_variant_get(payload, f"$.{name}", "string")).isNotNull()
+        if name in NEWS_STORE_REQUIRED:
+            errors.append(R.field_error(name, ~there, "required"))
+        errors.append(R.field_error(name, there & ~F.coalesce(right, F.lit(False)), "type"))
+    score, label = F.try_variant_get(payload, "$.relevance_score", "double"), F.try_variant_get(payload, "$.sentiment.label", "string")
+    errors.append(R.field_error("relevance_score", ~F.coalesce(score.between(0, 1), F.lit(True)), "range"))
+    errors.append(R.field_error("sentiment.label", ~F.coalesce(label.isin(*NEWS_LABELS), F.lit(True)), "enum"))
+    return docs.withColumn("errors", R.all_errors(errors, []))

@@ -165,8 +165,21 @@ def date_filter(posts: DataFrame, start: str, end: str, column: str = "created_u
     return posts.where((day >= F.lit(start).cast("timestamp")) & (day < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")))
 
 
-#: Seconds of the periods that listings and bar spans are named by.
+#: Seconds of the periods that listings are named by.
 PERIODS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
+#: Months of the longer units of bars.
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
+def span_start(ts: Column, multiplier: int, timespan: str) -> Column:
+    """The start of the span that a time without zone lies in. Months, quarters and years are those of the calendar, counted
+    from 1970; weeks begin on Monday; shorter spans are counted from the epoch."""
+    if timespan in MONTHS:
+        n = multiplier * MONTHS[timespan]
+        months = (F.year(ts) - 1970) * 12 + F.month(ts) - 1
+        return F.add_months(F.lit("1970-01-01").cast("date"), (F.floor(months / n) * n).cast("int")).cast("timestamp_ntz")
+    size, shift = multiplier * PERIODS[timespan], 345600 if timespan == "week" else 0  # the first Monday is the epoch's fifth day
+    return F.timestamp_seconds(F.floor((F.unix_timestamp(ts.cast("timestamp")) - shift) / size) * size + shift).cast("timestamp_ntz")
 
 
 def search_symbol_posts(posts: DataFrame, seen: DataFrame, n: int, now: Column, period: str = "all") -> DataFrame:
@@ -178,11 +191,10 @@ def search_symbol_posts(posts: DataFrame, seen: DataFrame, n: int, now: Column,
 
 
 def bar_range(bars: DataFrame, symbols: list[str], start: str, end: str, limit: int, descending: bool = False, multiplier: int = 1, timespan: str | None = None) -> DataFrame:
-    """Bars of the symbols from start on and before end, first or last `limit` of each; with a timespan as bars of multiplier timespans, counted from the epoch."""
+    """Bars of the symbols from start on and before end, first or last `limit` of each; with a timespan as bars of multiplier timespans (minute to year)."""
     rows = bars.where(F.col("symbol").isin(symbols) & (F.col("bar_ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("bar_ts") < F.lit(end).cast("timestamp_ntz")))
     if timespan:
-        size = multiplier * PERIODS[timespan]
-        at = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("bar_ts").cast("timestamp")) / size) * size).cast("timestamp_ntz")
+        at = span_start(F.col("bar_ts"), multiplier, timespan)
         order = F.col("bar_ts")
         rows = rows.groupBy("symbol", at.alias("at")).agg(F.min_by("open", order).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", order).alias("close"), F.sum("volume").alias("volume")).withColumnRenamed("at", "bar_ts")
     return first_n_per_group(rows, ["symbol"], [F.desc("bar_ts") if descending else F.asc("bar_ts")], limit)

@@ -19,6 +19,7 @@ from tickertide.operators import correlation as K
 from tickertide.operators import folds as L
 from tickertide.operators import records as P
 from tickertide.operators import search as I
+from tickertide.operators import scores as Y
 from tickertide.operators import sentiment as O
 from tickertide.operators import signals as G
 from tickertide.operators import tables as T
@@ -165,6 +166,11 @@ def _(s, d):
     return V.posts(s, d).select("id", pre.alias("p")).select("id", F.md5("p.cleaned_text").alias("h"), "p.subreddit", "p.score", "p.upvote_ratio", "p.num_comments")
 
 
+@query("d16_hashtags", r"SELECT doc_id, array_to_string(regexp_extract_all(replace(text, ' t', ' #t'), '#([\p{L}\p{N}_]+)', 1), ',') AS tags FROM documents")
+def _(s, d):
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.array_join(X.hashtags(F.replace("text", F.lit(" t"), F.lit(" #t"))), ",").alias("tags"))
+
+
 @query("d16_extra_cleaning", f"SELECT doc_id, md5(array_to_string(list_filter(string_split_regex(lower(text), '{WORD}'), lambda w: w <> '' AND w NOT IN ('the','and','of')), ' ')) AS h FROM documents")
 def _(s, d):
     return s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.md5(F.array_join(X.drop_words(F.col("text"), ["the", "and", "of"]), " ")).alias("h"))
@@ -243,6 +249,17 @@ def _(s, d):
     return O.score_distinct(docs, "text", lambda t: t.withColumn("n", F.size(X.words(F.col("text"))).cast("long"))).select("doc_id", "n")
 
 
+@query("j7_kept_scores", "WITH t AS (SELECT md5(text) AS h, min(doc_id % 2) AS first FROM documents GROUP BY 1) SELECT cast(b AS bigint) AS batch, (SELECT count(*) FROM t WHERE (b = 0 AND first = 0) OR (b = 1 AND first = 1)) AS n_scored, (SELECT count(*) FROM documents WHERE b > 0 OR doc_id % 2 = 0) AS n_rows FROM (SELECT unnest([0, 1, 2]) AS b)")
+def _(s, d):
+    # the documents of even ids, then all, then all once more: each batch scores what is new
+    path, docs, rows = f"{scratch(s)}/scores", s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), []
+    count = lambda t: t.withColumn("n", F.size(X.words(F.col("text"))).cast("long"))
+    for k, some in enumerate((docs.where("doc_id % 2 = 0"), docs, docs)):
+        n_rows = Y.get_or_compute(some, "text", count, path, "1", str(k)).count()
+        rows.append((k, Y.kept_scores(s, path, "1").where(F.col("batch") == k).count(), n_rows))
+    return s.createDataFrame(rows, "batch long, n_scored long, n_rows long")
+
+
 @query("p6_flatten_sentiment", f"WITH {_SCORED} SELECT sentiment_label, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM scored GROUP BY 1", "posts lexicon")
 def _(s, d):
     return scored(s, d).groupBy("sentiment_label").agg(F.count("*").alias("n"), r6(F.avg("confidence")).alias("mean_confidence"))
@@ -440,6 +457,12 @@ def _(s, d):
     return T.union_topics(*(T.top_posts(p, m, 2, now()).select(F.lit(m).alias("method"), "subreddit", "id") for m in ("hot", "new", "top", "rising")))
 
 
+@query("l2_top_posts_of_the_day", f"SELECT age, subreddit, id FROM (SELECT age, id, subreddit, row_number() OVER (PARTITION BY age, subreddit ORDER BY score DESC, id) AS k FROM posts, (SELECT unnest(['day', 'week']) AS age) WHERE created_utc BETWEEN {NOW_S} - CASE age WHEN 'day' THEN 86400 ELSE 7 * 86400 END AND {NOW_S}) WHERE k <= 3", "posts")
+def _(s, d):
+    p = V.posts(s, d)
+    return T.union_topics(*(T.top_posts(p, "top", 3, now(), hours).select(F.lit(age).alias("age"), "subreddit", "id") for age, hours in (("day", 24), ("week", 168))))
+
+
 @query("l3_first_comments", "SELECT id, post_id FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY depth, created_utc, id) AS k FROM comments) WHERE k <= 2", "comments")
 def _(s, d):
     return T.first_comments(V.comments(s, d), 2).select("id", "post_id")
@@ -477,6 +500,24 @@ def _(s, d):
     return T.date_filter(V.posts(s, d), "2024-01-03", "2024-01-11").select("id")
 
 
+@query("l7_dated_store", "SELECT id, cast(cast(make_timestamp(created_utc * 1000000) AS date) AS varchar) AS date FROM posts WHERE make_timestamp(created_utc * 1000000) >= TIMESTAMP '2024-01-03' AND make_timestamp(created_utc * 1000000) < TIMESTAMP '2024-01-12'", "posts")
+def _(s, d):
+    path = f"{scratch(s)}/posts"
+    io.write_dated(V.posts(s, d).select("id", "created_utc"), path, "created_utc")
+    return io.read_dated(s, path, "2024-01-03", "2024-01-11").select("id", F.col("date").cast("string").alias("date"))
+
+
+_SPAN = lambda unit, start: f"SELECT '{unit}' AS unit, symbol, cast({start} AS varchar) AS day, max(high) AS high, cast(sum(volume) AS bigint) AS volume FROM bars GROUP BY 1, 2, 3"
+
+
+@query("l5_calendar_spans", " UNION ALL ".join((_SPAN("week", "cast(date_trunc('week', bar_ts) AS date)"), _SPAN("month", "cast(date_trunc('month', bar_ts) AS date)"), _SPAN("quarter", "cast(date_trunc('quarter', bar_ts) AS date)"), _SPAN("year", "cast(date_trunc('year', bar_ts) AS date)"), _SPAN("day", "cast(bar_ts AS date)"))), "bars")
+def _(s, d):
+    bars = V.bars(s, d)
+    symbols = [r["symbol"] for r in bars.select("symbol").distinct().collect()]
+    spans = (T.bar_range(bars, symbols, "2000-01-01", "2100-01-01", 10**6, timespan=u).withColumn("unit", F.lit(u)) for u in ("week", "month", "quarter", "year", "day"))
+    return T.union_topics(*spans).select("unit", "symbol", F.to_date("bar_ts").cast("string").alias("day"), "high", "volume")
+
+
 # routing
 
 
@@ -685,6 +726,12 @@ def _(s, d):
     return P.enrich_news(dated_news(s, d), now(), "c1").select("url", "published_date", "published_time", "content_stats.*")
 
 
+@query("p11_unreadable_dates", "SELECT url, CASE WHEN doc_id % 9 = 0 THEN 'soon' ELSE strftime(make_timestamp(published_utc * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS published_at, CASE WHEN doc_id % 9 <> 0 THEN strftime(make_timestamp(published_utc * 1000000), '%Y-%m-%d') END AS published_date FROM news", "news")
+def _(s, d):
+    n = dated_news(s, d).withColumn("publishedAt", F.when(F.col("doc_id") % 9 == 0, "soon").otherwise(F.col("publishedAt")))
+    return P.enrich_news(n, now(), "c1").select("url", "published_at", "published_date")
+
+
 @query("p13_envelopes", """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{"original_message":{"doc_id":' || doc_id || '},"validation_errors":["e"],"processing_timestamp":"' || '2024-01-31 00:00:00' || '","log_context":{"topic":"raw","offset":' || doc_id || ',"item_id":"UNKNOWN_ID"}}' WHEN 1 THEN '{"article":{"doc_id":' || doc_id || '},"errors":["e"],"timestamp":"2024-01-31 00:00:00"}' ELSE '{"original_message":{"doc_id":' || doc_id || '},"validation_errors":["e"],"processing_timestamp":"2024-01-31 00:00:00"}' END AS value FROM documents""")
 def _(s, d):
     docs, one, errors = s.read.parquet(f"{d}/documents.parquet"), F.struct("doc_id"), F.array(F.lit("e"))
@@ -825,6 +872,12 @@ def _(s, d):
     return s.read.parquet(f"{d}/documents.parquet").select("doc_id", r6(G.quality_score(F.col("text"))).alias("quality"))
 
 
+@query("d14_quality_with_emoji", "WITH t AS (SELECT doc_id, text || repeat('\U0001f600', cast(doc_id % 7 AS int)) AS text FROM documents) SELECT doc_id, round(greatest(0.0, least(1.0, greatest(0.0, least(1.0, (length(text) - 50) / 450.0::double)) - CASE WHEN len(regexp_extract_all(text, '[\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}]')) > 3 THEN 0.1 ELSE 0 END + CASE WHEN regexp_matches(text, 'https?://') THEN 0.05 ELSE 0 END)), 6) AS quality FROM t")
+def _(s, d):
+    text = F.concat("text", F.repeat(F.lit("\U0001f600"), (F.col("doc_id") % 7).cast("int")))
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", r6(G.quality_score(text)).alias("quality"))
+
+
 @query("d15_meme_adjust", f"WITH {lex_sql('lexicon')}, {lex_sql('meme', 'm')} SELECT lex.id, round(CASE WHEN mlex.neu < 1 THEN 0.7 * lex.compound + 0.3 * mlex.compound ELSE lex.compound END, 6) AS compound FROM lex JOIN mlex USING (id)", "posts lexicon meme")
 def _(s, d):
     p = text_of(V.posts(s, d))
@@ -905,6 +958,15 @@ def _(s, d):
     return P.check_news_documents(docs).select("url", F.array_join("errors", "|").alias("errors"))
 
 
+@query("d28_news_payload_types", "SELECT url, array_to_string(list_filter([CASE WHEN doc_id % 11 = 0 THEN 'Schema error: Field ''article_id'': required' END, CASE WHEN doc_id % 3 = 0 THEN 'Schema error: Field ''title'': type' END, CASE WHEN doc_id % 5 = 0 THEN 'Schema error: Field ''published_at'': type' END, CASE WHEN doc_id % 7 = 0 THEN 'Schema error: Field ''symbols'': type' END, CASE WHEN doc_id % 4 = 0 THEN 'Schema error: Field ''relevance_score'': range' END, CASE WHEN doc_id % 13 = 0 THEN 'Schema error: Field ''sentiment.label'': enum' END], lambda x: x IS NOT NULL), '|') AS errors FROM news", "news")
+def _(s, d):
+    every = lambda k: F.col("doc_id") % k == 0
+    texts = {"article_id": F.when(~every(11), F.col("url")), "url": F.col("url"), "source_name": F.col("source"), "published_at": F.when(every(5), "yesterday").otherwise(P.iso(F.timestamp_seconds("published_utc"))), "collection_timestamp": P.iso(now())}
+    plain = F.struct(*(v.alias(k) for k, v in texts.items()), F.when(every(4), 1.5).otherwise(0.5).alias("relevance_score"), F.when(~every(7), F.array("lang")).alias("symbols"), F.struct(F.when(every(13), "odd").otherwise("mixed").alias("label")).alias("sentiment"))
+    value = F.regexp_replace(F.to_json(plain), r"^\{", F.concat(F.lit("{"), F.when(every(3), F.lit('"title":["x"],')).otherwise(F.lit('"title":"x",')), F.when(every(7), F.lit('"symbols":"x",')).otherwise(F.lit(""))))
+    return P.check_news_payloads(V.news(s, d).select("url", F.parse_json(value).alias("payload"))).select("url", F.array_join("errors", "|").alias("errors"))
+
+
 @query("d29_uniqueness_check", "SELECT md5(text) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def _(s, d):
     return G.duplicates(s.read.parquet(f"{d}/documents.parquet").select(F.md5("text").alias("h")), "h")

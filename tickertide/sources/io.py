@@ -97,6 +97,23 @@ def write_topics(messages: DataFrame, servers: str | None = None, root: str | No
         messages.select("value", "topic").write.mode("append").partitionBy("topic").text(root)
 
 
+def write_dated(df: DataFrame, path: str, ts: str, spread: int = 8, mode: str = "append") -> None:
+    """df in folders by the date of ts (a timestamp or epoch seconds); each date's rows go to `spread` tasks, in order of ts.
+    Mode "overwrite" replaces the dates that df has, and leaves the others."""
+    at = F.col(ts) if dict(df.dtypes)[ts].startswith("timestamp") else F.timestamp_seconds(ts)
+    rows = df.withColumn("date", F.to_date(at)).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    rows = rows.repartition("date", "_part").sortWithinPartitions("date", ts).drop("_part")
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
+def read_dated(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The rows of write_dated() from the start date to the end date, both included: only their folders are listed and read."""
+    rows = spark.read.parquet(path)
+    for bound, keep in ((start, lambda d: F.col("date") >= d), (end, lambda d: F.col("date") <= d)):
+        rows = rows if bound is None else rows.where(keep(F.lit(bound).cast("date")))
+    return rows
+
+
 def load_processed(spark: SparkSession, path: str, key: str = "url") -> DataFrame:
     from pyspark.errors import AnalysisException
 
