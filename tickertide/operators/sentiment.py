@@ -61,6 +61,11 @@ class Lexicon:
         return _bind(slot, lambda k: _bind(F.struct(F.get(self.starts, k).alias("a"), F.get(self.starts, k + 1).alias("b")), within))
 
 
+def words_of(df: DataFrame, column: str) -> Lexicon:
+    """A lexicon that tells which words a table of a vocabulary's size has."""
+    return Lexicon(terms_of(df.select(F.col(column).alias("term"), F.lit(1.0).alias("valence"))))
+
+
 def lexicon_scores(text: Column, terms: list[tuple[str, float]], negations: Sequence[str] = (), boosters: Sequence[str] = (), cfg: SentimentConfig = SentimentConfig(), look_back: int = 3) -> Column:
     """compound, pos, neg, neu of a text, as one expression: no shuffle, and it runs on streams."""
     empty = F.struct(F.lit(0.0).alias("compound"), F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"), F.lit(1.0).alias("neu"))

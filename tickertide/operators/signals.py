@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from tickertide.config import SentimentConfig
 from tickertide.functions.text import EMOJI, count_of, words
+from tickertide.operators.sentiment import words_of
 from tickertide.operators.tables import first_n_per_group, top
 
 _CFG = SentimentConfig()
 
 
 def term_share(df: DataFrame, terms: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """relevance: matched words over all words, times 10, at most 1; texts without words have 0."""
-    exploded = df.select(id_col, F.explode_outer(words(F.lower(text))).alias("term"))
-    known = terms.select("term").distinct().withColumn("_hit", F.lit(1))
-    return exploded.join(known, "term", "left").groupBy(id_col).agg(F.least(F.lit(1.0), 10.0 * F.count("_hit") / F.greatest(F.count("term"), F.lit(1))).alias("relevance"))
+    """relevance of each row: matched words over all words, times 10, at most 1; texts without words have 0.
+    Words are looked up where they are (terms: a vocabulary), so nothing is sent."""
+    known = words_of(terms, "term")
+    counted = df.select(id_col, F.coalesce(words(F.lower(text)), F.array().cast("array<string>")).alias("ws"))
+    hits = F.size(F.filter("ws", lambda w: known.valence(w).isNotNull()))
+    return counted.select(id_col, F.least(F.lit(1.0), 10.0 * hits / F.greatest(F.size("ws"), F.lit(1))).alias("relevance"))
 
 
 def calibrate(df: DataFrame, calibration: DataFrame, score: str = "sentiment_score") -> DataFrame:

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickertide.functions.text import bare_tickers, words
 from tickertide.operators.folds import with_last_valid  # noqa: F401  (one of the joins)
+from tickertide.operators.sentiment import words_of
 
 
 def rank_within(keys: list[str], *order) -> Column:
@@ -30,6 +32,13 @@ def valid_tickers_join(mentions: DataFrame, tickers: DataFrame) -> DataFrame:
     return mentions.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
 
 
+def valid_mentions(df: DataFrame, tickers: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """id, ticker: the words of capital letters that are known tickers (a vocabulary), repeats and all. They are looked up
+    in the text, so only hits become rows."""
+    known = words_of(tickers, "ticker")
+    return df.select(id_col, F.explode(F.filter(bare_tickers(text), lambda t: known.valence(t).isNotNull())).alias("ticker"))
+
+
 def unseen(df: DataFrame, processed: DataFrame, key: str = "url") -> DataFrame:
     """Rows whose key was not processed; null keys are new."""
     return df.join(processed.select(key).distinct(), key, "left_anti")
@@ -44,11 +53,11 @@ def comments_of_active_posts(comments: DataFrame, posts: DataFrame, min_score: i
 
 
 def watchlist_mentions(df: DataFrame, symbols: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """id, symbol (in the watchlist's spelling): distinct whole-word hits, whatever their case."""
-    from tickertide.functions.text import words
-
-    hits = df.select(id_col, F.explode(F.array_distinct(words(F.upper(text)))).alias("_token"))
-    return hits.join(symbols.select(F.col("symbol"), F.upper("symbol").alias("_token")).distinct(), "_token").select(id_col, "symbol").distinct()
+    """id, symbol (in the watchlist's spelling): distinct whole-word hits, whatever their case. Only hits become rows and are joined."""
+    spelled = symbols.select(F.col("symbol"), F.upper("symbol").alias("_token")).distinct()
+    known = words_of(spelled, "_token")
+    hits = df.select(id_col, F.explode(F.array_distinct(F.filter(words(F.upper(text)), lambda w: known.valence(w).isNotNull()))).alias("_token"))
+    return hits.join(spelled, "_token").select(id_col, "symbol").distinct()
 
 
 def posts_for_symbol(posts: DataFrame, symbol: str, column: str = "symbols") -> DataFrame:

@@ -306,6 +306,11 @@ def _(s, d):
     return T.valid_tickers_join(mentions, V.words_table(s, V.TICKERS, "ticker")).select("doc_id", "ticker")
 
 
+@query("j1_valid_mentions", ORACLE_SQL["j1_valid_tickers_join"])
+def _(s, d):
+    return T.valid_mentions(s.read.parquet(f"{d}/documents.parquet"), V.words_table(s, V.TICKERS, "ticker"), "doc_id", F.col("text"))
+
+
 @query("j2_unseen", "SELECT url FROM news WHERE doc_id % 3 <> 0", "news")
 def _(s, d):
     news = V.news(s, d)
