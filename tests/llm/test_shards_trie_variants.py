@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tickertide.llm import queries, sharding, trie, variants
+from tickertide.llm import chat, queries, sharding, trie, variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -258,3 +258,14 @@ def test_roots_follow_long_chains(spark):
 def test_long_texts(spark):
     long = "alphas betas " * 100_000 + "alphaz " * 3
     assert {w[:5] for w in found_variants(spark, [(1, long)], noise=0)} == {("alphas", None, "alphas", 100_000, 1), ("betas", None, "betas", 100_000, 0), ("alphaz", "alphas", "alphas", 3, 1)}
+
+
+# chats
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_chat_ids_keep_their_type(spark, kind):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"what is {t}?" if t % 2 == 0 else "It is so.") for c in range(3) for t in range(4)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("conv_id", F.col("conv_id").cast(kind))
+    out = chat.format_chats(frame)
+    assert dict(out.dtypes)["conv_id"] == kind and {str(r["conv_id"]) for r in out.collect()} == {"0", "1", "2"}

@@ -182,7 +182,8 @@ def recover(rows: DataFrame, start: np.ndarray, move: np.ndarray, emission: np.n
     types = [pa.int64() if kind.simpleString() == "bigint" else pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
     ident = F.col("id") if kind.simpleString() == "bigint" else F.col("id").cast("string").alias("id")
     schema = f"id {'long' if kind.simpleString() == 'bigint' else 'string'}, turn long, text string, role string, found string"
-    return joined.repartition("chat", "segment").sortWithinPartitions(*order).select("chat", "segment", "head", "enter", "leave", "seen", ident, "turn", "text", "role").mapInArrow(decode, schema)
+    found = joined.repartition("chat", "segment").sortWithinPartitions(*order).select("chat", "segment", "head", "enter", "leave", "seen", ident, "turn", "text", "role").mapInArrow(decode, schema)
+    return found.withColumn("id", F.col("id").cast(kind))
 
 
 def format_chats(chats: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", role_col: str = "role", known: DataFrame | None = None) -> DataFrame:
