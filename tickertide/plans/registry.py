@@ -27,6 +27,7 @@ from tickertide.plans import fixtures as V
 from tickertide.plans.fixtures import NOW, oracle
 from tickertide.sources import io
 from tickertide.streaming import stream as M
+from tickertide.streaming import watch as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1312,6 +1313,24 @@ def _(s, d):
     return s.read.parquet(f"{base}/out").select("symbol", F.unix_timestamp("bar_ts").alias("ts"), r6("last_close").alias("last_close"), "accepted")
 
 
+_SEEN = "raw_bars WHERE symbol <> 'view' OR bar_ts < TIMESTAMP '2024-01-15'"
+
+
+@query("m4_watched_bars", f"{_FOLD.replace('FROM raw_bars)', f'FROM {_SEEN})')} SELECT symbol, epoch(bar_ts)::bigint AS ts, accepted, false AS absent FROM fold UNION ALL SELECT symbol, newest + 3600 * k, false, true FROM (SELECT symbol, max(epoch(bar_ts)::bigint) AS newest, (SELECT max(epoch(bar_ts)::bigint) FROM {_SEEN}) AS latest FROM {_SEEN} GROUP BY 1), (SELECT unnest(range(1, 13)) AS k) WHERE newest + 3600 * k <= latest - 7200", "raw_bars")
+def _(s, d):
+    # one symbol falls silent in the middle: its next twelve bars are missed, then it is forgotten
+    base, before = scratch(s), s.conf.get(W.STATE_STORE[0])
+    bars = checked_bars(s, d).withColumn("bar_ts", F.col("bar_ts").cast("timestamp"))
+    bars.where("symbol <> 'view' OR bar_ts < TIMESTAMP '2024-01-15'").write.parquet(f"{base}/in")
+    s.conf.set(*W.STATE_STORE)
+    try:
+        rows = s.readStream.schema("symbol string, bar_ts timestamp, close double, ok boolean").parquet(f"{base}/in")
+        M.start(W.watch_bars(rows, 3600, 12 * 3600), io._write_batch(f"{base}/out", None), f"{base}/check").awaitTermination()
+    finally:
+        s.conf.set(W.STATE_STORE[0], before)
+    return s.read.parquet(f"{base}/out").select("symbol", F.unix_timestamp("bar_ts").alias("ts"), "accepted", "absent")
+
+
 @query("d2_stream_bars", "SELECT symbol, b AS ts, close, volume FROM (SELECT symbol, epoch_us(ts) // 300000000 * 300 AS b, arg_max(price, ts) AS close, count(*) AS volume FROM ticks GROUP BY 1, 2) WHERE b + 300 <= (SELECT epoch_us(max(ts)) / 1e6 - 600 FROM ticks)", "ticks")
 def _(s, d):
     base = scratch(s)
