@@ -100,7 +100,7 @@ def test_deep_scores_by_distinct_text_and_failure(spark):
     def broken(ts):
         raise ValueError
 
-    assert all(r["p_pos"] is None for r in O.deep_scores(rows, broken).collect())
+    assert all(r["p_pos"] is None and r["deep_failed"] for r in O.deep_scores(rows, broken).collect())
 
 
 def test_empty_inputs(spark):

@@ -106,18 +106,28 @@ def score_distinct(df: DataFrame, text_col: str, scorer: Callable[[DataFrame], D
 
 
 def deep_scores(df: DataFrame, scorer: Callable[[list[str]], list[tuple[float, float, float]]], text_col: str = "text", cfg: TextConfig = TextConfig()) -> DataFrame:
-    """df with p_neg, p_neu, p_pos: the scorer sees each distinct text once, in batches; where it fails they are null."""
+    """df with p_neg, p_neu, p_pos and deep_failed: the scorer sees each distinct text once, in batches. Where it raises, the
+    batch is given again text by text, and texts that it cannot score have no deep tier: nulls, and deep_failed is true, to be counted."""
+
+    def one_by_one(texts: list[str]) -> list[tuple]:
+        found = []
+        for t in texts:
+            try:
+                found.append((*scorer([t])[0], False))
+            except Exception:  # this text goes without
+                found.append((None, None, None, True))
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf[text_col].fillna("").str.slice(0, cfg.max_deep_chars).tolist()
             try:
-                probs = scorer(texts)
-            except Exception:  # a batch that the model cannot score has no deep tier
-                probs = [(None, None, None)] * len(texts)
-            yield pdf.assign(**{c: [p[k] for p in probs] for k, c in enumerate(("p_neg", "p_neu", "p_pos"))})
+                probs = [(*p, False) for p in scorer(texts)]
+            except Exception:
+                probs = one_by_one(texts)
+            yield pdf.assign(**{c: [p[k] for p in probs] for k, c in enumerate(("p_neg", "p_neu", "p_pos", "deep_failed"))})
 
-    return score_distinct(df, text_col, lambda d: d.mapInPandas(run, f"_h long, `{text_col}` string, p_neg double, p_neu double, p_pos double"))
+    return score_distinct(df, text_col, lambda d: d.mapInPandas(run, f"_h long, `{text_col}` string, p_neg double, p_neu double, p_pos double, deep_failed boolean"))
 
 
 def fit_default_model(labelled: DataFrame, text_col: str = "text", label_col: str = "label", features: int = 1 << 14):

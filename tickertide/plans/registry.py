@@ -244,6 +244,18 @@ def _(s, d):
     return O.score_distinct(docs, "text", lambda t: model.transform(t).select("_h", "text", F.col("prediction"))).select("doc_id", "prediction")
 
 
+@query("t8_deep_tier", "SELECT doc_id, n % 10 = 0 AS failed, CASE WHEN n % 10 <> 0 THEN round((n % 7) / 7.0::double, 6) END AS p_pos, CASE WHEN n % 10 <> 0 THEN round(1 - (n % 7) / 7.0::double, 6) END AS p_neg FROM (SELECT doc_id, length(substr(text, 1, 2048)) AS n FROM documents)")
+def _(s, d):
+    def scorer(texts):
+        # a model that cannot take some texts
+        if any(len(t) % 10 == 0 for t in texts):
+            raise ValueError("too odd")
+        return [(1 - len(t) % 7 / 7, 0.0, len(t) % 7 / 7) for t in texts]
+
+    r = O.deep_scores(s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), scorer)
+    return r.select("doc_id", F.col("deep_failed").alias("failed"), r6("p_pos").alias("p_pos"), r6("p_neg").alias("p_neg"))
+
+
 @query("j7_score_distinct", f"SELECT doc_id, cast(len(list_filter(string_split_regex(text, '{WORD}'), lambda w: w <> '')) AS bigint) AS n FROM documents")
 def _(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
