@@ -12,7 +12,7 @@ from tickertide.operators import bars as B
 CASES = {
     "sma": lambda b, k: B.sma(b, 10, k), "volatility": lambda b, k: B.volatility(b, 12, k), "returns": B.log_returns, "rsi": lambda b, k: B.rsi(b, 14, k),
     "bollinger": lambda b, k: B.bollinger(b, 9, 2.0, k), "zscore": lambda b, k: B.zscore(b, 8, k), "minmax": lambda b, k: B.minmax(b, 8, k), "outliers": lambda b, k: B.outliers(b, 11, 2.0, k),
-    "spikes": lambda b, k: B.spikes(b, 6, 1.5, "volume", k), "gaps": lambda b, k: B.gaps(b, 3600, k), "calendar": lambda b, k: B.filled_calendar(b, 3600, k), "regime": lambda b, k: B.regime(b, 5, 12, k),
+    "spikes": lambda b, k: B.spikes(b, 6, 1.5, "volume", k), "gaps": lambda b, k: B.gaps(b, 3600, k), "calendar": lambda b, k: B.filled_calendar(b, 3600, k), "regime": lambda b, k: B.regime(b, 5, 12, k), "ema": lambda b, k: B.ema_columns(b, {"a": 1, "b": 2, "c": 3}, size=k), "macd": lambda b, k: B.macd(b, 2, 3, 2, k),
 }
 
 

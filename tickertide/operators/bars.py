@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from math import ceil, log
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,40 +103,43 @@ def volatility(bars: DataFrame, n: int, size: int = BLOCK) -> DataFrame:
     return in_blocks(bars, n, lambda rows: _volatility(rows, n), size)
 
 
-def ema_columns(bars: DataFrame, spans: dict[str, int], of: str = "close") -> DataFrame:
-    """Exponential means of each symbol in order of time: e0 = x0, then e + 2 / (n + 1) * (x - e).
+def reach(n: int) -> int:
+    """Rows after which what came before weighs less in an exponential mean than a double can hold: (1 - 2 / (n + 1)) ** rows < 2 ** -60."""
+    return ceil(60 * log(2) / -log(1 - 2 / (n + 1))) if n > 1 else 1
 
-    The mean after a day is a factor times the mean before it, plus a term of the day's own bars. So days are folded
-    apart from each other, a symbol's days (one small row each) are run through in order, and each day's bars then
-    start from the mean before it: no task holds more than a day's bars.
-    """
-    names = list(spans)
-    rows = bars.where(F.col(of).isNotNull()).select("symbol", F.to_date("bar_ts").alias("day"), F.struct("bar_ts", F.col(of).alias("x")).alias("i"))
-    days = rows.groupBy("symbol", "day").agg(F.array_sort(F.collect_list("i")).alias("items"))
-    kinds = {c: bars.schema[n].dataType.simpleString() for c, n in (("bar_ts", "bar_ts"), ("x", of))}
-    step = lambda acc, x: [(acc[c] + (x.cast("double") - acc[c]) * 2 / (n + 1)).alias(c) for c, n in spans.items()]
-    own = F.aggregate("items", F.struct(*(F.lit(0.0).alias(c) for c in names)), lambda acc, i: F.struct(*step(acc, i["x"])))
-    parts = days.select("symbol", F.struct("day", F.size("items").alias("m"), F.col("items")[0]["x"].cast("double").alias("x"), own.alias("own")).alias("d"))
-    start = F.struct(*(F.lit(None).cast("double").alias(c) for c in names), F.array().cast("array<struct<day:date," + ",".join(f"{c}:double" for c in names) + ">>").alias("all"))
 
-    def carry(acc: Column, d: Column) -> Column:
-        before = [F.coalesce(acc[c], d["x"]).alias(c) for c in names]
-        after = [(F.coalesce(acc[c], d["x"]) * F.pow(F.lit(1 - 2 / (n + 1)), d["m"]) + d["own"][c]).alias(c) for c, n in spans.items()]
-        return F.struct(*after, F.array_append(acc["all"], F.struct(d["day"].alias("day"), *before)).alias("all"))
+def ema_columns(bars: DataFrame, spans: dict[str, int], of: str = "close", size: int = BLOCK) -> DataFrame:
+    """symbol, bar_ts, x (the column) and exponential means of each symbol in order of time: e0 = x0, then e + 2 / (n + 1) * (x - e).
 
-    carried = parts.groupBy("symbol").agg(F.array_sort(F.collect_list("d")).alias("ds")).select("symbol", F.inline(F.aggregate("ds", start, carry)["all"]))
-    none = F.array().cast(f"array<struct<bar_ts:{kinds['bar_ts']},x:{kinds['x']}," + ",".join(f"{c}:double" for c in names) + ">>")
+    Blocks start from so many rows before them that nothing earlier is left in the mean, so no block waits for another.
+    Rows without a value are left out.
+    """
+    kinds = {c: bars.schema[k].dataType.simpleString() for c, k in (("symbol", "symbol"), ("bar_ts", "bar_ts"), ("x", of))}
+    weights = [2 / (n + 1) for n in spans.values()]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, means = None, []
+        for batch in batches:
+            out = [[] for _ in weights]
+            for symbol, block, x in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(2).cast(pa.float64()).to_pylist(), strict=True):
+                if (symbol, block) != at:
+                    at, means = (symbol, block), [x] * len(weights)
+                else:
+                    means = [e + w * (x - e) for e, w in zip(means, weights, strict=True)]
+                for column, e in zip(out, means, strict=True):
+                    column.append(e)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.float64()) for c in out)], [*batch.schema.names, *spans])
 
-    def fill(acc: Column, i: Column) -> Column:
-        now = step(acc, i["x"])
-        return F.struct(*now, F.array_append(acc["all"], F.struct(i["bar_ts"].alias("bar_ts"), i["x"].alias("x"), *now)).alias("all"))
+    def run(rows: DataFrame) -> DataFrame:
+        rows = rows.select("symbol", "bar_ts", "x", "_block", "_copy").repartition(*_KEYS).sortWithinPartitions(*_KEYS, "bar_ts")
+        return rows.mapInArrow(fold, ", ".join([*(f"{c} {k}" for c, k in kinds.items()), "_block long, _copy boolean", *(f"`{c}` double" for c in spans)]))
 
-    return days.join(carried, ["symbol", "day"]).select("symbol", F.inline(F.aggregate("items", F.struct(*(F.col(c).alias(c) for c in names), none.alias("all")), fill)["all"]))
+    return in_blocks(bars.where(F.col(of).isNotNull()).select("symbol", "bar_ts", F.col(of).alias("x")), max(map(reach, spans.values())), run, size)
 
 
-def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    lines = ema_columns(bars, {"fast": fast, "slow": slow}).withColumn("macd", F.col("fast") - F.col("slow"))
-    signals = ema_columns(lines, {"signal": signal}, of="macd").select("symbol", "bar_ts", "signal")
+def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, size: int = BLOCK) -> DataFrame:
+    lines = ema_columns(bars, {"fast": fast, "slow": slow}, size=size).withColumn("macd", F.col("fast") - F.col("slow"))
+    signals = ema_columns(lines, {"signal": signal}, of="macd", size=size).select("symbol", "bar_ts", "signal")
     return lines.join(signals, ["symbol", "bar_ts"]).withColumn("histogram", F.col("macd") - F.col("signal"))
 
 

@@ -810,6 +810,11 @@ def _(s, d):
     return B.macd(V.bars(s, d)).groupBy("symbol").agg(r6(F.max_by("macd", F.col("bar_ts"))).alias("macd"))
 
 
+@query("d4_macd_signal", "RECURSIVE WITH r AS (SELECT symbol, bar_ts, close AS x, row_number() OVER (PARTITION BY symbol ORDER BY bar_ts) AS k FROM bars), e AS (SELECT symbol, bar_ts, k, x AS f, x AS s, cast(0 AS double) AS g FROM r WHERE k = 1 UNION ALL SELECT r.symbol, r.bar_ts, r.k, f + (x - f) * 2 / 13, s + (x - s) * 2 / 27, g + ((f + (x - f) * 2 / 13) - (s + (x - s) * 2 / 27) - g) * 2 / 10 FROM e JOIN r ON r.symbol = e.symbol AND r.k = e.k + 1) SELECT symbol, epoch(bar_ts)::bigint AS ts, round(f - s, 6) AS macd, round(g, 6) AS signal, round(f - s - g, 6) AS histogram FROM e", "bars")
+def _(s, d):
+    return B.macd(V.bars(s, d)).select("symbol", _ts().alias("ts"), *(r6(c).alias(c) for c in ("macd", "signal", "histogram")))
+
+
 @query("d5_rsi", f"WITH c AS (SELECT symbol, bar_ts, close - lag(close) OVER (PARTITION BY symbol ORDER BY bar_ts) AS d FROM bars), g AS (SELECT symbol, bar_ts, count(d) OVER {_ROWS(14)} AS n, avg(greatest(d, 0.0)) OVER {_ROWS(14)} AS gain, avg(greatest(-d, 0.0)) OVER {_ROWS(14)} AS loss FROM c) SELECT symbol, epoch(bar_ts)::bigint AS ts, round(CASE WHEN n >= 14 THEN CASE WHEN loss = 0 THEN 100.0 ELSE 100 - 100 / (1 + gain / loss) END END, 6) AS rsi FROM g", "bars")
 def _(s, d):
     rows = B.rsi(V.bars(s, d))
