@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tickertide.llm import chat, queries, sharding, trie, variants
+from tickertide.llm import chat, lines, queries, sharding, trie, variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -269,3 +269,33 @@ def test_chat_ids_keep_their_type(spark, kind):
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("conv_id", F.col("conv_id").cast(kind))
     out = chat.format_chats(frame)
     assert dict(out.dtypes)["conv_id"] == kind and {str(r["conv_id"]) for r in out.collect()} == {"0", "1", "2"}
+
+
+# lines
+
+
+def test_lines_of_one_opening_do_not_meet(spark):
+    """Thousands of lines share their first four words, and so a block, and nothing else; among them are near copies."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
+    own = ["one and the same " + " ".join(rng.sample(words, 16)) for _ in range(3000)]
+    copies = [" ".join(w if k != 9 else "changed" for k, w in enumerate(t.split())) for t in own[:40]]
+    frame = spark.createDataFrame(list(enumerate(own + copies)), "doc_id long, text string")
+    gone = {r["id"]: list(r["nos"]) for r in lines.drops(frame).collect()}
+    assert gone == {3000 + i: [0] for i in range(40)}
+
+
+def test_groups_of_near_lines_meet_whoever_leads(spark):
+    """A group of lines each a few words from a common one, so that many pairs of it are not alike, stays one group."""
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(30)]
+    made = []
+    for _ in range(300):
+        line = list(base)
+        for i in rng.sample(range(30), 4):
+            line[i] = "".join(rng.choice("abcdefghij") for _ in range(5))
+        made.append(" ".join(line))
+    frame = spark.createDataFrame(list(enumerate([" ".join(base), *made])), "doc_id long, text string")
+    # 4 of 30 words from the common line, which is within the similarity; two of them may differ by 8. Blocks may miss some
+    gone = {r["id"] for r in lines.drops(frame).collect()}
+    assert gone <= set(range(1, 301)) and len(gone) >= 285
