@@ -1220,7 +1220,7 @@ def mixed_lines(docs):
 def _(s, d):
     path, counts = f"{scratch(s)}/lines", Observation()
     mixed_lines(s.read.parquet(f"{d}/documents.parquet")).write.text(path)
-    n = io.read_jsonl(s, path, counts).select("value").groupBy().agg(F.count("*").alias("n")).first()["n"]
+    n = io.read_jsonl(s.newSession(), path, counts).select("value").groupBy().agg(F.count("*").alias("n")).first()["n"]
     return s.createDataFrame([("observed", k, v) for k, v in counts.get.items()] + [("rows", "read", n)], "part string, kind string, n long")
 
 

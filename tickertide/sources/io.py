@@ -25,7 +25,8 @@ def read_jsonl(spark: SparkSession, path: str, counts: Observation | None = None
     """value, payload (variant): the lines that hold a JSON object; blank lines, other values and bad JSON are left out.
 
     counts: an observation that tells, once the rows have been read, how many lines were blank, bad JSON, other values
-    and objects (LINE_KINDS): in the same pass, without another action.
+    and objects (LINE_KINDS): in the same pass, without another action. Read with spark.newSession() where the session also
+    fits models: Spark's tasks cannot carry a session that has had an observation.
     """
     return of_lines(spark.read.text(path), counts)
 
