@@ -16,6 +16,8 @@ from tickertide.functions import text as X
 
 #: Terms of a lexicon at most: it is held in every task. Vocabularies stay far below.
 MOST_TERMS = 500_000
+#: Terms up to which a word is first compared with all of them.
+FEW_TERMS = 64
 #: Separates terms in a literal; no word holds it.
 _SEPARATOR = "\x01"
 
@@ -41,7 +43,7 @@ class Lexicon:
     """
 
     def __init__(self, terms: list[tuple[str, float]]):
-        self.slots = 1 << (4 * len(terms)).bit_length()
+        self.slots, self.few = 1 << (4 * len(terms)).bit_length(), [t for t, _ in terms] if len(terms) <= FEW_TERMS else None
         dealt = sorted((xxh64_intdigest(t.encode(), 42) % self.slots, t, v) for t, v in terms if _SEPARATOR not in t)
         counts = [0] * (self.slots + 1)
         for slot, *_ in dealt:
@@ -58,7 +60,9 @@ class Lexicon:
             at = F.array_position(F.slice(self.names, s["a"] + 1, s["b"] - s["a"]), word).cast("int")
             return F.when(s["b"] > s["a"], F.get(self.values, F.nullif(at, F.lit(0)) + s["a"] - 1))
 
-        return _bind(slot, lambda k: _bind(F.struct(F.get(self.starts, k).alias("a"), F.get(self.starts, k + 1).alias("b")), within))
+        found = _bind(slot, lambda k: _bind(F.struct(F.get(self.starts, k).alias("a"), F.get(self.starts, k + 1).alias("b")), within))
+        # the same, but most words are told apart at once where there are few to compare with
+        return F.when(word.isin(*self.few), found) if self.few else found
 
 
 def words_of(df: DataFrame, column: str) -> Lexicon:
