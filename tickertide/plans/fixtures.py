@@ -76,7 +76,7 @@ def _values(rows) -> str:
 #: The same views in the comparison engine's SQL.
 SQL = {
     "ticks": "SELECT event_id, event_type AS symbol, ts, value AS price FROM events",
-    "bars": "SELECT event_type AS symbol, date_trunc('hour', ts) AS bar_ts, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close, count(*) AS volume FROM events GROUP BY 1, 2",
+    "bars": "SELECT event_type AS symbol, date_trunc('hour', ts) AS bar_ts, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume FROM events GROUP BY 1, 2",
     "raw_bars": "SELECT symbol, bar_ts, open, high, CASE WHEN h % 19 = 0 THEN high + 1 ELSE low END AS low, CASE WHEN h % 17 = 0 THEN NULL WHEN h % 29 = 0 THEN close * 1000 ELSE close END AS close, CASE WHEN h % 23 = 0 THEN -1 ELSE volume END AS volume FROM (SELECT *, epoch(bar_ts)::bigint // 3600 AS h FROM bars)",
     "posts": "SELECT doc_id AS id, source AS subreddit, split_part(text, chr(10), 1) AS title, substr(text, length(split_part(text, chr(10), 1)) + 2) AS selftext, cast(n_chars % 5000 AS bigint) AS score, cast(n_chars % 97 AS bigint) AS num_comments, (doc_id % 101) / 100.0::double AS upvote_ratio, 1704067200 + doc_id * 3600 AS created_utc, lang, CASE WHEN doc_id % 13 = 0 THEN '[deleted]' ELSE concat('user', doc_id % 50) END AS author FROM documents",
     "comments": "SELECT conv_id * 1000 + turn AS id, conv_id AS post_id, conv_id * 1000 + turn - 1 AS parent_id, text AS body, role AS author, turn AS depth, 1704067200 + conv_id * 3600 + turn * 60 AS created_utc FROM conversations WHERE turn > 0",
