@@ -41,3 +41,13 @@ def both(spark, path, name):
 def test_odd_bars(spark, odd_ticks, name):
     rows, want = both(spark, odd_ticks, name)
     assert rows and rows == want
+
+
+def test_odd_bars_in_order(spark, odd_ticks, tmp_path):
+    """Bars without a symbol are judged as well, and two spellings of a symbol are one, in order of the closes where their hours are equal."""
+    ticks = spark.read.parquet(f"{odd_ticks}/events.parquet")
+    other = ticks.where("event_type = 'view'").selectExpr("event_id + 100000 AS event_id", "ts", "user_id", "'View' AS event_type", "value * 1.15D AS value", "props")
+    ticks.unionByName(other).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows, want = both(spark, str(tmp_path), "v26_validate_bars_in_order")
+    assert rows == want
+    assert any(r[1] is None for r in rows) and any("Suspicious" in r[0] for r in rows)
