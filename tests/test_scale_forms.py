@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickertide.operators import correlation, search, sentiment, signals
+from tickertide.sources import io
 from tickertide.streaming import stream
 
 
@@ -139,3 +140,21 @@ def test_live_stats_by_batch(spark, tmp_path):
         spark.streams.removeListener(stats)
     assert stats.totals == {"processed": 5, "valid": 3, "invalid": 1, "error": 1}
     assert [t for t in told if t[1]] == [(0, 3, 3), (1, 2, 5)]
+
+
+# dated stores
+
+
+def test_dates_of_few_rows_are_one_file(spark, tmp_path):
+    """Many dates are written by many tasks, most as one file; a date of many rows still goes to several; bounds at any distance find their rows."""
+    frame = spark.range(24 * 120).selectExpr("id", "1704067200 + id * 3600 AS at").unionByName(spark.range(3000).selectExpr("id + 10000 AS id", "1704067200 + id AS at"))
+    path = f"{tmp_path}/store"
+    io.write_dated(frame, path, "at")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) <= 120 + tasks
+    # rows of few bytes would all go to one task, which writes one folder after another
+    assert len({f.rsplit("part-", 1)[1][:5] for f in files}) >= tasks - 1
+    days = lambda start, end: io.read_dated(spark, path, start, end).count()
+    assert days("2024-01-31", "2024-02-01") == 48 and days("2024-01-01", "2024-01-01") == 3024 and days("1901-01-01", "2100-01-01") == days(None, None) == 24 * 120 + 3000
+    assert days("2031-01-01", "2031-02-01") == 0 and days("2024-02-01", "2024-01-01") == 0

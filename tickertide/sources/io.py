@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +45,6 @@ def of_lines(lines: DataFrame, counts: Observation | str | None = None) -> DataF
 
 def read_reference_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """Distinct stripped lines, without blank ones; nothing at the path means an empty set."""
-    from pyspark.errors import AnalysisException
-
     try:
         lines = spark.read.text(path)
     except AnalysisException:
@@ -99,25 +98,44 @@ def write_topics(messages: DataFrame, servers: str | None = None, root: str | No
 
 
 def write_dated(df: DataFrame, path: str, ts: str, spread: int = 8, mode: str = "append") -> None:
-    """df in folders by the date of ts (a timestamp or epoch seconds); each date's rows go to `spread` tasks, in order of ts.
-    Mode "overwrite" replaces the dates that df has, and leaves the others."""
+    """df in folders by the date of ts (a timestamp or epoch seconds), in order of ts.
+    Mode "overwrite" replaces the dates that df has, and leaves the others.
+
+    Each task writes neighbouring dates, so that most dates are one file however many there are; a date of very many rows
+    is dealt to up to `spread` tasks. The number of tasks is Spark's for shuffles, as small rows make many files."""
     at = F.col(ts) if dict(df.dtypes)[ts].startswith("timestamp") else F.timestamp_seconds(ts)
     rows = df.withColumn("date", F.to_date(at)).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-    rows = rows.repartition("date", "_part").sortWithinPartitions("date", ts).drop("_part")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(tasks, "date", "_part").sortWithinPartitions("date", ts).drop("_part")
     rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+#: Months up to which a store's folders are found by a pattern.
+_LISTED_MONTHS = 240
+
+
+def _months(date: str) -> int:
+    return int(date[:4]) * 12 + int(date[5:7]) - 1
+
+
 def read_dated(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """The rows of write_dated() from the start date to the end date, both included: only their folders are listed and read."""
-    rows = spark.read.parquet(path)
+    rows = None
+    if start is not None and end is not None and 0 <= _months(end) - _months(start) < _LISTED_MONTHS:
+        # the months' folders by a pattern, so that the others are not listed; a store may have none of them
+        months = ",".join(f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(_months(start), _months(end) + 1))
+        try:
+            rows = spark.read.option("basePath", path).parquet(f"{path}/date={{{months}}}-*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    rows = spark.read.parquet(path) if rows is None else rows
     for bound, keep in ((start, lambda d: F.col("date") >= d), (end, lambda d: F.col("date") <= d)):
         rows = rows if bound is None else rows.where(keep(F.lit(bound).cast("date")))
     return rows
 
 
 def load_processed(spark: SparkSession, path: str, key: str = "url") -> DataFrame:
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.parquet(path).select(key).distinct()
     except AnalysisException:
