@@ -158,3 +158,17 @@ def test_dates_of_few_rows_are_one_file(spark, tmp_path):
     days = lambda start, end: io.read_dated(spark, path, start, end).count()
     assert days("2024-01-31", "2024-02-01") == 48 and days("2024-01-01", "2024-01-01") == 3024 and days("1901-01-01", "2100-01-01") == days(None, None) == 24 * 120 + 3000
     assert days("2031-01-01", "2031-02-01") == 0 and days("2024-02-01", "2024-01-01") == 0
+
+
+# lexicons
+
+
+def test_a_lookup_compares_two_slots(spark):
+    """Every term is found at its valence, no other word is; a lookup builds no array, however many terms there are."""
+    for n in (1, 3, 70, 3000):
+        terms = [(f"w{i}é", i % 7 - 3.0) for i in range(n)]
+        words = spark.createDataFrame([(t,) for t, _ in terms] + [("w",), ("é",), ("",), (None,)], "word string")
+        found = words.select("word", sentiment.Lexicon(terms).valence(F.col("word")).alias("v"))
+        assert {r["word"]: r["v"] for r in found.collect()} == {**dict(terms), "w": None, "é": None, "": None, None: None}
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert "slice(" not in plan and "array_position(" not in plan and "lambda" not in plan

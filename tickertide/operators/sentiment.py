@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import accumulate
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,31 +36,43 @@ def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 class Lexicon:
-    """Valences by a hash table that stands in the plan as three literals, whatever the number of terms.
+    """Valences by a hash table that stands in the plan as two literals, whatever the number of terms.
 
-    Terms lie in order of their slots, the low bits of Spark's xxhash64; starts tells where a slot begins. With four
-    slots a term most words find theirs empty.
+    A term lies in one of two slots (cuckoo hashing), of the low and the high bits of Spark's xxhash64, so a lookup
+    compares a word with two terms at most and builds nothing. There are more than two slots a term.
     """
 
     def __init__(self, terms: list[tuple[str, float]]):
-        self.slots, self.few = 1 << (4 * len(terms)).bit_length(), [t for t, _ in terms] if len(terms) <= FEW_TERMS else None
-        dealt = sorted((xxh64_intdigest(t.encode(), 42) % self.slots, t, v) for t, v in terms if _SEPARATOR not in t)
-        counts = [0] * (self.slots + 1)
-        for slot, *_ in dealt:
-            counts[slot + 1] += 1
+        self.few = [t for t, _ in terms] if len(terms) <= FEW_TERMS else None
+        known = {t: (xxh64_intdigest(t.encode(), 42), v) for t, v in terms if t and _SEPARATOR not in t}
+        self.bits = max((2 * len(known)).bit_length(), 2)
+        while (dealt := self._dealt(known)) is None:
+            self.bits += 1
         literal = lambda values, kind: F.split(F.lit(_SEPARATOR.join(values)), _SEPARATOR, -1).cast(f"array<{kind}>")
-        self.starts = literal(map(str, accumulate(counts)), "int")
-        self.names, self.values = literal((t for _, t, _ in dealt), "string"), literal((repr(v) for *_, v in dealt), "double")
+        # an empty slot has the empty text, which is no term
+        self.names, self.values = literal((t or "" for t in dealt), "string"), literal((repr(known[t][1]) if t else "0.0" for t in dealt), "double")
+
+    def _dealt(self, known: dict[str, tuple[int, float]]) -> list[str | None] | None:
+        """The term of each slot, or None if they do not fit."""
+        slots: list[str | None] = [None] * (1 << self.bits)
+        places = lambda h: (h & (len(slots) - 1), h >> (64 - self.bits))
+        for term, (h, _) in known.items():
+            at = places(h)[0]
+            for _ in range(500):
+                slots[at], term = term, slots[at]
+                if term is None:
+                    break
+                one, two = places(known[term][0])
+                at = two if at == one else one
+            else:
+                return None
+        return slots
 
     def valence(self, word: Column) -> Column:
         """Null for words that the lexicon does not have."""
-        slot = F.pmod(F.xxhash64(word), F.lit(self.slots)).cast("int")
-
-        def within(s: Column) -> Column:
-            at = F.array_position(F.slice(self.names, s["a"] + 1, s["b"] - s["a"]), word).cast("int")
-            return F.when(s["b"] > s["a"], F.get(self.values, F.nullif(at, F.lit(0)) + s["a"] - 1))
-
-        found = _bind(slot, lambda k: _bind(F.struct(F.get(self.starts, k).alias("a"), F.get(self.starts, k + 1).alias("b")), within))
+        one = F.xxhash64(word).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
+        two = F.shiftrightunsigned(F.xxhash64(word), 64 - self.bits).cast("int")
+        found = F.when(word == "", None).when(F.get(self.names, one) == word, F.get(self.values, one)).when(F.get(self.names, two) == word, F.get(self.values, two))
         # the same, but most words are told apart at once where there are few to compare with
         return F.when(word.isin(*self.few), found) if self.few else found
 
@@ -79,8 +91,9 @@ def lexicon_scores(text: Column, terms: list[tuple[str, float]], negations: Sequ
 
     def value(ws: Column, hit: Column) -> Column:
         i, v = hit["i"], hit["v"]
-        before = F.slice(ws, F.greatest(i - look_back + 1, F.lit(1)), F.least(i, F.lit(look_back)))
-        has = lambda some: F.exists(before, lambda b: b.isin(*some)) if some else F.lit(False)
+        # null before the first word
+        before = [F.get(ws, i - k) for k in range(1, look_back + 1)]
+        has = lambda some: F.coalesce(reduce(lambda x, y: x | y, (b.isin(*some) for b in before)), F.lit(False)) if some and before else F.lit(False)
         boosted = v + F.when(has(boosters), F.signum(v) * cfg.boost).otherwise(0.0)
         return boosted * F.when(has(negations), cfg.negation).otherwise(1.0)
 
