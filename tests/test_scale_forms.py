@@ -95,6 +95,14 @@ def test_sketched_drift_is_near_the_exact_one(spark):
     assert sizes[1] < 100_000
 
 
+def test_postings_make_rows_of_plain_words(spark):
+    """Words become rows as they are, without a step in each text for each of them; empty and null fields have none, repeats add up."""
+    frame = spark.createDataFrame([("u", "A b", None, "b"), ("v", "", " ,", "..b a"), ("u", None, "B", ""), ("w", None, None, None)], "url string, title string, description string, content string")
+    found = search.postings(frame)
+    assert "lambda" not in found._jdf.queryExecution().analyzed().toString()
+    assert {(r["term"], r["id"]): r["weight"] for r in found.collect()} == {("a", "u"): 10, ("b", "u"): 16, ("b", "v"): 1, ("a", "v"): 1}
+
+
 # lexicons
 
 
@@ -160,6 +168,14 @@ def test_dates_of_few_rows_are_one_file(spark, tmp_path):
     assert days("2031-01-01", "2031-02-01") == 0 and days("2024-02-01", "2024-01-01") == 0
 
 
+def test_postings_make_rows_of_plain_words(spark):
+    """Words become rows as they are, without a step in each text for each of them; empty and null fields have none, repeats add up."""
+    frame = spark.createDataFrame([("u", "A b", None, "b"), ("v", "", " ,", "..b a"), ("u", None, "B", ""), ("w", None, None, None)], "url string, title string, description string, content string")
+    found = search.postings(frame)
+    assert "lambda" not in found._jdf.queryExecution().analyzed().toString()
+    assert {(r["term"], r["id"]): r["weight"] for r in found.collect()} == {("a", "u"): 10, ("b", "u"): 16, ("b", "v"): 1, ("a", "v"): 1}
+
+
 # lexicons
 
 

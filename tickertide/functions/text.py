@@ -41,7 +41,7 @@ def cashtags(c: Column, least: int = _CFG.ticker_min, most: int = _CFG.ticker_ma
 
 
 def words(c: Column) -> Column:
-    return F.filter(F.split(c, NON_WORD), lambda w: w != "")
+    return F.array_remove(F.split(c, NON_WORD), "")
 
 
 def bare_tickers(c: Column, least: int = _CFG.ticker_min, most: int = _CFG.ticker_max) -> Column:

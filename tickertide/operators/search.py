@@ -25,11 +25,11 @@ BUCKETS, SPREAD = 64, 8
 
 def postings(news: DataFrame, id_col: str = "url", fields: dict[str, int] = FIELDS) -> DataFrame:
     """term, id, weight. Repeated articles add up; null fields have no words."""
-    hits = lambda field, weight: F.transform(words(F.lower(F.col(field))), lambda w: F.struct(w.alias("term"), F.lit(weight).cast("long").alias("weight")))
-    none = F.array().cast("array<struct<term:string,weight:bigint>>")
-    every = F.concat(*(F.coalesce(hits(f, w), none) for f, w in fields.items()))
+    # texts are dealt to rows by field and then by word, which needs no step for each word before rows are made
+    every = F.inline(F.array(*(F.struct(words(F.lower(F.col(f))).alias("terms"), F.lit(w).cast("long").alias("weight")) for f, w in fields.items())))
+    hits = news.select(F.col(id_col).alias("id"), every).select("id", "weight", F.explode("terms").alias("term"))
     # an article's hits lie in one task, so they are summed before anything is sent
-    return news.select(F.col(id_col).alias("id"), F.inline(every)).groupBy("term", "id").agg(F.sum("weight").alias("weight"))
+    return hits.groupBy("term", "id").agg(F.sum("weight").alias("weight"))
 
 
 def write_index(news: DataFrame, path: str, id_col: str = "url", fields: dict[str, int] = FIELDS, buckets: int = BUCKETS, spread: int = SPREAD) -> None:
