@@ -299,3 +299,22 @@ def test_groups_of_near_lines_meet_whoever_leads(spark):
     # 4 of 30 words from the common line, which is within the similarity; two of them may differ by 8. Blocks may miss some
     gone = {r["id"] for r in lines.drops(frame).collect()}
     assert gone <= set(range(1, 301)) and len(gone) >= 285
+
+
+def test_lines_with_much_of_their_own_do_not_meet(spark, monkeypatch):
+    """Lines that share a passage and have more words of their own than edits can spoil do not go to the check of edits."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    half, rest = (["z" + word() for _ in range(15)] for _ in range(2))  # their words lead
+    own = [" ".join([*(word() for _ in range(6)), *half, *(word() for _ in range(6)), *rest, *(word() for _ in range(6))]) for _ in range(150)]
+    copies = [" ".join(w if k != 20 else "changed" for k, w in enumerate(t.split())) for t in own[:10]]
+    frame = spark.createDataFrame(list(enumerate(own + copies)), "doc_id long, text string")
+    seen, real = [], lines._verified
+
+    def counted(pairs, texts, similarity):
+        seen.append(pairs.count())
+        return real(pairs, texts, similarity)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    gone = {r["id"]: list(r["nos"]) for r in lines.drops(frame).collect()}
+    assert gone == {150 + i: [0] for i in range(10)} and seen[-1] < 500
