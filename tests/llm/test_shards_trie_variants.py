@@ -318,3 +318,54 @@ def test_lines_with_much_of_their_own_do_not_meet(spark, monkeypatch):
     monkeypatch.setattr(lines, "_verified", counted)
     gone = {r["id"]: list(r["nos"]) for r in lines.drops(frame).collect()}
     assert gone == {150 + i: [0] for i in range(10)} and seen[-1] < 500
+
+
+def passage_lines(n, own):
+    """n lines of 30 words, all but the last own of them the same, and copies of the first ten with one word changed."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = ["z" + word() for _ in range(30 - own)]  # its words lead
+    texts = [[*passage, *(word() for _ in range(own))] for _ in range(n)]
+    return [" ".join(t) for t in texts] + [" ".join(w if k != 20 else "changed" for k, w in enumerate(t)) for t in texts[:10]]
+
+
+def test_lines_just_short_of_the_similarity_are_told_where_they_meet(spark, monkeypatch):
+    """Lines that share 23 of 30 words, with no more pairs of words of their own than edits can spoil, lead to no pairs that move on."""
+    frame = spark.createDataFrame(list(enumerate(passage_lines(150, 7))), "doc_id long, text string")
+    seen, real = [], lines._verified
+
+    def counted(pairs, texts, similarity):
+        seen.append(pairs.count())
+        return real(pairs, texts, similarity)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    gone = {r["id"]: list(r["nos"]) for r in lines.drops(frame).collect()}
+    assert gone == {150 + i: [0] for i in range(10)} and seen[-1] < 500
+
+
+def test_lines_meet_in_turns(spark, monkeypatch):
+    frame = spark.createDataFrame(list(enumerate(passage_lines(100, 7))), "doc_id long, text string")
+    monkeypatch.setattr(lines, "TURN", 900)
+    asked, real = [], lines._turns
+    monkeypatch.setattr(lines, "_turns", lambda rows: asked.append(real(rows)) or asked[-1])
+    assert {r["id"] for r in lines.drops(frame).collect()} == set(range(100, 110)) and min(asked) > 1
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9, 0.7])
+def test_near_lines_lack_few_grams_of_each_other(spark, similarity):
+    """Lines at the similarity, with words put in, taken out and changed, against the number of grams that _most_own allows."""
+    rng, rows = random.Random(3), []
+    for _ in range(600):
+        a = [f"w{rng.randrange(60)}" for _ in range(rng.randint(5, 60))]
+        b, most = list(a), rng.random() * 0.3 * len(a)
+        kind = rng.choice(["in", "out", "all"])
+        for _ in range(int(most)):
+            k = rng.randrange(len(b))
+            b[k : k + (kind != "in" and rng.random() < 0.9)] = ["new"] * (kind == "in" or (kind == "all" and rng.random() < 0.6))
+        if len(b) >= 5:
+            rows.append((a, b))
+    frame = spark.createDataFrame(rows, "a array<string>, b array<string>")
+    coded = {c: lines.coded(F.col(c)) for c in "ab"}
+    near = frame.where(lines.alike(F.array_join("a", " "), F.array_join("b", " "), coded["a"], coded["b"], similarity))
+    own = lambda x, y: F.size(F.array_except(lines._grams(F.col(x), similarity), lines._grams(F.col(y), similarity))) <= lines._most_own(F.size(x), similarity)
+    assert near.count() > 100 and near.where(~(own("a", "b") & own("b", "a"))).count() == 0
